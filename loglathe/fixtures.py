@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglathe.operators.normalize import to_raw_events
+from loglathe.operators.normalize import evaluate_once, to_raw_events
 from loglathe.session import scratch_path
 from loglathe.sources.files import clean_lines
 from loglathe.sources.tables import read_raw, write_raw
@@ -38,7 +38,9 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = f"events_{uuid.uuid4().hex}"
     events.createOrReplaceTempView(view)
     lines = spark.sql(LOG_LINES_SQL.replace("FROM events)", f"FROM {view})"))
-    return lines.select("source_name", F.col("seq").alias("line_no"), "seq", "raw_text")
+    return evaluate_once(
+        lines, ["seq"], F.col("source_name"), F.col("raw_text"),
+    ).select("source_name", F.col("seq").alias("line_no"), "seq", "raw_text")
 
 
 _RAW_TABLES: dict[tuple[str, str], str] = {}

@@ -17,6 +17,11 @@ def json_in_array(text: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
 
 
+def json_in_object(text: Column) -> Column:
+    """The text parsed as the only value of a JSON object (a VARIANT), else null."""
+    return F.try_parse_json(F.concat(F.lit('{"w":'), text, F.lit("}")))
+
+
 def is_strict_json(text: Column) -> Column:
     """Whether the whole text is one JSON value.
 
@@ -24,8 +29,7 @@ def is_strict_json(text: Column) -> Column:
     that parses both inside an array and inside an object cannot have any: what
     continues an array (``, 1``) does not continue an object (``, "k": 1``).
     """
-    in_object = F.try_parse_json(F.concat(F.lit('{"w":'), text, F.lit("}")))
-    return json_in_array(text).isNotNull() & in_object.isNotNull()
+    return json_in_array(text).isNotNull() & json_in_object(text).isNotNull()
 
 
 def is_json_object(raw_text: Column) -> Column:
@@ -43,11 +47,14 @@ def is_syslog(raw_text: Column) -> Column:
     return text.rlike(BSD_SYSLOG_SHAPE) | text.rlike(IETF_SYSLOG_SHAPE)
 
 
-def detect_format(raw_text: Column) -> Column:
-    """JSON, then CEF, then syslog, else unknown; null and blank are unknown."""
+def format_of(is_json: Column, text: Column) -> Column:
+    """JSON, then CEF, then syslog, else unknown."""
     return (
-        F.when(is_json_object(raw_text), "json")
-        .when(is_cef(raw_text), "cef")
-        .when(is_syslog(raw_text), "syslog")
+        F.when(is_json, "json").when(is_cef(text), "cef").when(is_syslog(text), "syslog")
         .otherwise("unknown")
     )
+
+
+def detect_format(raw_text: Column) -> Column:
+    """The format of a line by its shape; null and blank are unknown."""
+    return format_of(is_json_object(raw_text), raw_text)

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglathe.contracts import JSON_KEYS
-from loglathe.operators.detect import is_strict_json, json_in_array
 from loglathe.operators.fields import found_struct
 
 _NUMBER_TYPES = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
@@ -17,16 +16,13 @@ _PORT_FIELDS = ["src_port", "dst_port"]
 _TEXT_FIELDS = ["src_ip", "dst_ip", "device_vendor"]
 
 
-def find_json(df: DataFrame, when: Column, text: Column, out: str,
-              known_valid: bool = False) -> DataFrame:
+def find_json(df: DataFrame, when: Column, text: Column, in_array: Column,
+              out: str) -> DataFrame:
     """Add ``out``, the texts found in a line, for the rows where ``when`` holds.
 
-    ``known_valid`` says that ``when`` already implies one whole JSON object.
+    ``in_array`` is the line parsed as the only element of an array, null if invalid.
     """
-    parsed = F.try_variant_get(json_in_array(text), "$[0]", "variant")
-    if not known_valid:
-        parsed = F.when(is_strict_json(text), parsed)
-    df = df.withColumn("_js", F.when(when, parsed))
+    df = df.withColumn("_js", F.when(when, F.try_variant_get(in_array, "$[0]", "variant")))
     is_object = F.startswith(F.schema_of_variant("_js"), F.lit("OBJECT"))
     df = df.withColumns({
         "_js_map": F.when(is_object, F.col("_js").cast("map<string,variant>")),

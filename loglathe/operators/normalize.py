@@ -14,7 +14,7 @@ from loglathe.functions.clock import utc_now
 from loglathe.functions.text import sha256_of, strip
 from loglathe.operators import templates
 from loglathe.operators.cef import find_cef
-from loglathe.operators.detect import detect_format
+from loglathe.operators.detect import detect_format, format_of, json_in_array, json_in_object
 from loglathe.operators.fields import finish_fields
 from loglathe.operators.json_events import find_json
 from loglathe.operators.skew import attach_by_key
@@ -62,13 +62,16 @@ def parse_known(raw: DataFrame, options: NormalizeOptions,
     """
     df = raw.withColumn("_text", strip(F.col("raw_text")))
     fmt, text, one = F.col("detected_format"), F.col("_text"), len(formats) == 1
-    if detect:
-        if one:
-            df = df.filter(detect_format(text) == formats[0])
-        else:
-            df = df.withColumn("detected_format", detect_format(text))
+    # The JSON value is parsed once, for detection and for the fields.
+    df = df.withColumn("_json_array", F.when(
+        text.startswith("{") | F.lit(not detect), json_in_array(text)))
+    is_json = F.col("_json_array").isNotNull() & json_in_object(text).isNotNull()
+    if detect and one:
+        df = df.filter(detect_format(F.col("raw_text")) == formats[0])
     if one:
         df = df.withColumn("detected_format", F.lit(formats[0]))
+    else:
+        df = df.withColumn("detected_format", format_of(is_json, text))
 
     def when(name: str) -> Column:
         return F.lit(True) if one else fmt == name
@@ -78,9 +81,10 @@ def parse_known(raw: DataFrame, options: NormalizeOptions,
     if "cef" in formats:
         df = find_cef(df, when("cef"), text, "_cef")
     if "json" in formats:
-        df = find_json(df, when("json"), text, "_json", known_valid=detect)
+        parsed = F.col("_json_array") if detect else F.when(is_json, F.col("_json_array"))
+        df = find_json(df, when("json"), text, parsed, "_json")
     df = df.withColumn("found", F.coalesce(*[f"_{name}" for name in formats]))
-    df = df.drop("_text", *[f"_{name}" for name in formats])
+    df = df.drop("_text", "_json_array", *[f"_{name}" for name in formats])
     return finish_fields(df, fmt, F.col("ingested_at"))
 
 
@@ -119,6 +123,14 @@ def outcomes_known(raw: DataFrame, fmt: str, options: NormalizeOptions | None =
     return _shape(parse_known(raw, options, (fmt,), detect), options)
 
 
+def outcomes_of_known_formats(raw: DataFrame,
+                              options: NormalizeOptions | None = None) -> DataFrame:
+    """Outcomes of all events in a known format, in one pass and without mining."""
+    options = options or NormalizeOptions()
+    df = _shape(parse_known(raw, options), options)
+    return df.filter(F.col("detected_format") != "unknown")
+
+
 def outcomes_unknown(raw: DataFrame, options: NormalizeOptions | None = None,
                      prior: DataFrame | None = None) -> DataFrame:
     """Outcomes of the events in no known format."""
@@ -131,6 +143,17 @@ def outcomes_unknown(raw: DataFrame, options: NormalizeOptions | None = None,
     return _shape(df, options)
 
 
+def evaluate_once(df: DataFrame, passed: list[str], *computed: Column) -> DataFrame:
+    """Passed columns and computed ones, where a filter never re-computes the latter.
+
+    The optimiser pushes a filter on a computed column below its definition by
+    repeating that definition, which multiplies a long chain of parsing steps. A
+    generator of one row is not crossed by such filters, while filters on the passed
+    columns still reach the scan.
+    """
+    return df.select(*passed, F.inline(F.array(F.struct(*computed))))
+
+
 def _shape(df: DataFrame, options: NormalizeOptions) -> DataFrame:
     """Fixed output columns from ``parsed`` and / or ``_guess``."""
     fmt = F.col("detected_format")
@@ -155,17 +178,19 @@ def _shape(df: DataFrame, options: NormalizeOptions) -> DataFrame:
         *[field(name).alias(name) for name in PARSED_FIELDS],
     )
     failed = F.col("error_reason").isNotNull()
-    return df.select(
-        "source_name", "seq", "detected_format",
-        F.when(failed, STATUS_PARSE_ERROR).otherwise(STATUS_NORMALIZED).alias("status"),
-        "error_reason",
+    # A failed line has an outcome but no event.
+    event = F.when(~failed, F.struct(
         F.sha2(F.concat("raw_event_id", F.lit("n")), 256).alias("normalized_id"),
-        "raw_event_id", "timestamp", "src_ip", "dst_ip", "src_port", "dst_port",
-        "action", "protocol", "device_vendor", "severity",
-        fmt.alias("source_format"),
+        *[F.col(name) for name in PARSED_FIELDS if name != "error_reason"],
         F.when(fmt == "unknown", "low").otherwise("high").alias("parser_confidence"),
         F.lit(options.normalized_at or utc_now()).alias("normalized_at"),
-    )
+    ))
+    return evaluate_once(
+        df, ["raw_event_id", "source_name", "seq"],
+        fmt.alias("detected_format"),
+        F.when(failed, STATUS_PARSE_ERROR).otherwise(STATUS_NORMALIZED).alias("status"),
+        F.col("error_reason"), fmt.alias("source_format"), event.alias("_event"),
+    ).select("*", "_event.*").drop("_event")
 
 
 def normalized_events(outcome: DataFrame) -> DataFrame:

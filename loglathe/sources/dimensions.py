@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +12,9 @@ from loglathe.functions.text import strip
 from loglathe.sources.files import in_file_order
 
 
-def _bundled(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
-    one = "(" + ", ".join("?" * len(rows[0])) + ")"
-    values = ", ".join([one] * len(rows))
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})",
-                     args=[value for row in rows for value in row])
+def _bundled(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    columns = [list(column) for column in zip(*rows)]
+    return spark.createDataFrame(pa.table(columns, names=names))
 
 
 def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -35,8 +34,7 @@ def geo_ranges(spark: SparkSession, path: str | None = None) -> DataFrame:
     """
     if path is None:
         rows = [(i, cidr, country) for i, (cidr, country) in enumerate(GEO_RANGES, start=1)]
-        table = _bundled(spark, rows, "ord, cidr, country").withColumn(
-            "ord", F.col("ord").cast("bigint"))
+        table = _bundled(spark, rows, ["ord", "cidr", "country"])
     else:
         table = _csv(spark, path, "cidr string, country string")
     cidr = strip(F.col("cidr"))
@@ -60,6 +58,6 @@ def geo_ranges(spark: SparkSession, path: str | None = None) -> DataFrame:
 def known_bad_ips(spark: SparkSession, path: str | None = None) -> DataFrame:
     """``(ip)``, without repeats; a file is a CSV with the header ``ip``."""
     if path is None:
-        return _bundled(spark, [(ip,) for ip in KNOWN_BAD_IPS], "ip")
+        return _bundled(spark, [(ip,) for ip in KNOWN_BAD_IPS], ["ip"])
     table = spark.read.csv(path, header=True, schema="ip string", enforceSchema=False)
     return table.select(strip(F.col("ip")).alias("ip")).distinct()
