@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglathe import fixtures
-from loglathe.contracts import NORMALIZED_EVENT_COLUMNS, QUARANTINE_COLUMNS, RAW_EVENT_COLUMNS
+from loglathe.contracts import (
+    LINES_SCHEMA, NORMALIZED_EVENT_COLUMNS, QUARANTINE_COLUMNS, RAW_EVENT_COLUMNS,
+)
 from loglathe.functions.clock import ist_display
 from loglathe.operators import detect, enrich, templates
 from loglathe.operators.normalize import (
@@ -19,6 +21,7 @@ from loglathe.operators.skew import attach_by_key
 from loglathe.plans import batch, queries
 from loglathe.session import configure_session, scratch_path
 from loglathe.sources import dimensions, files, tables
+from loglathe.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -329,3 +332,46 @@ def ist_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["ist_display"] = QUERIES.pop("ist_labels")
+
+
+# -- streaming ---------------------------------------------------------------------------
+
+def _append_files(lines: DataFrame, path: str) -> None:
+    """Text files whose names follow the order of the lines."""
+    lines.repartitionByRange("seq").sortWithinPartitions("seq").select("raw_text").write.mode(
+        "append").text(path)
+
+
+@query
+def tail_new_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files already there are the baseline; only what arrives afterwards is delivered."""
+    lines = fixtures.log_lines(spark, sf_dir)
+    folder, out = scratch_path(spark, "tailed"), scratch_path(spark, "tail-out")
+    _append_files(lines, folder)
+    stream = live.tail_lines(spark, folder, "latest", "*.txt").writeStream.format(
+        "parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "cp"))
+    running = stream.trigger(processingTime="0 seconds").start()
+    running.processAllAvailable()
+    _append_files(lines, folder)
+    running.processAllAvailable()
+    running.stop()
+    return spark.read.schema(LINES_SCHEMA).parquet(out).select("raw_text")
+
+
+@query
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that the two streaming queries make of the same lines."""
+    folder = scratch_path(spark, "tailed")
+    _append_files(fixtures.log_lines(spark, sf_dir), folder)
+    store = batch.EventStore(spark, scratch_path(spark, "live"))
+    first = live.start_raw_stream(
+        live.tail_lines(spark, folder, "earliest", "*.txt"), store, scratch_path(spark, "cp"),
+        interval="0 seconds", ingested_at=fixtures.CLOCK)
+    first.processAllAvailable()
+    first.stop()
+    second = live.start_event_stream(
+        store, scratch_path(spark, "cp"), OPTIONS, available_now=True)
+    second.awaitTermination()
+    events = store.events().join(
+        store.raw().select(F.col("event_id").alias("raw_event_id"), "raw_text"), "raw_event_id")
+    return events.drop("normalized_id", "raw_event_id")

@@ -379,4 +379,9 @@ ORACLES: dict[str, str] = {
         WHERE raw_text = 'CEF:0|OnlyVendor|MissingTheRest'""",
     "ist_display": f"""{_ALL} SELECT normalized_id, timestamp, {_ist("timestamp")} AS timestamp_ist
         FROM events_out""",
+    # streaming
+    "tail_new_lines": f"WITH {_RAW_CTE} SELECT raw_text FROM lines",
+    "stream_events": f"""{_ALL} SELECT raw_text, {", ".join(
+            c for c in NORMALIZED_EVENT_COLUMNS if c not in ("normalized_id", "raw_event_id"))}
+        FROM events_out JOIN raw ON event_id = raw_event_id""",
 }
