@@ -43,6 +43,16 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("source_name", F.col("seq").alias("line_no"), "seq", "raw_text")
 
 
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of all documents, in document order, as ``(seq, raw_text)``."""
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"),
+                  "doc_id")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "raw_text"))
+    # No document has as many lines as the factor.
+    seq = F.col("doc_id") * 1_000_000 + F.col("i")
+    return clean_lines(lines.select(seq.alias("seq"), "raw_text"))
+
+
 _RAW_TABLES: dict[tuple[str, str], str] = {}
 
 

@@ -12,7 +12,7 @@ from loglathe.contracts import (
 )
 from loglathe.functions.clock import utc_now
 from loglathe.functions.text import sha256_of, strip
-from loglathe.operators import templates
+from loglathe.operators import sequential, templates
 from loglathe.operators.cef import find_cef
 from loglathe.operators.detect import detect_format, format_of, json_in_array, json_in_object
 from loglathe.operators.fields import finish_fields
@@ -23,12 +23,23 @@ from loglathe.operators.syslog import find_syslog
 
 @dataclass(frozen=True)
 class NormalizeOptions:
-    """``assumed_year`` dates lines without a year; default: the year of ingestion."""
+    """``assumed_year`` dates lines without a year; default: the year of ingestion.
+
+    ``mode`` picks how templates of unrecognised lines are mined:
+    ``running`` keeps one template per leaf, as it stands when a line arrives;
+    ``two_pass`` applies the final template to all lines, earlier ones included;
+    ``sequential`` keeps several templates per leaf, split by ``similarity``.
+    """
 
     assumed_year: int | None = None
     normalized_at: str | None = None
     mode: str = templates.MODE_RUNNING
     depth: int = templates.DEFAULT_DEPTH
+    similarity: float = templates.DEFAULT_SIMILARITY
+
+    def __post_init__(self) -> None:
+        if self.mode not in templates.MODES:
+            raise ValueError(f"mode must be one of {templates.MODES}: {self.mode}")
 
     def year(self) -> Column:
         if self.assumed_year is not None:
@@ -95,25 +106,48 @@ def unknown_lines(raw: DataFrame, depth: int = templates.DEFAULT_DEPTH) -> DataF
 
 def mine_raw(raw: DataFrame, options: NormalizeOptions,
              prior: DataFrame | None = None) -> tuple[DataFrame, bool]:
-    """Leaf descriptions of the unrecognised lines among ``raw``."""
+    """What is learned from the unrecognised lines among ``raw``, and if it is small.
+
+    ``prior`` is what earlier runs have learned, in the form of ``learned_state``.
+    """
     lines = unknown_lines(raw, options.depth).select("leaf", "seq", "tokens")
+    if options.mode == templates.MODE_SEQUENTIAL:
+        return sequential.mine_sequential(lines, options.similarity, prior=prior)
     return templates.mine_leaves(lines, prior)
 
 
+def learned_state(mined: DataFrame, options: NormalizeOptions) -> DataFrame:
+    """What a later run has to know of the templates mined so far."""
+    if options.mode == templates.MODE_SEQUENTIAL:
+        return sequential.cluster_state(mined)
+    return templates.leaf_state(mined)
+
+
+def with_guess(df: DataFrame, mined: tuple[DataFrame, bool],
+               options: NormalizeOptions) -> DataFrame:
+    """Add ``_guess``, the fields guessed from ``tokens``, where there is a ``leaf``."""
+    state, small = mined
+    here = F.col("leaf").isNotNull()
+    if options.mode == templates.MODE_SEQUENTIAL:
+        df = attach_by_key(df, state, "leaf", small)
+        df = df.withColumn("_cluster", F.when(here, sequential.line_cluster(options.similarity)))
+        values = sequential.sequential_values(F.col("_cluster"))
+    else:
+        df = attach_by_key(df, state.select("leaf", "break_seq"), "leaf", small)
+        values = templates.mined_values(options.mode)
+    df = df.withColumn("_values", F.when(here, values))
+    return df.withColumn("_guess", F.when(here, templates.classify_tokens(F.col("_values"))))
+
+
 def outcomes(raw: DataFrame, options: NormalizeOptions | None = None,
              prior: DataFrame | None = None,
              mined: tuple[DataFrame, bool] | None = None) -> DataFrame:
     """One row per raw event: its format, status, error reason and event columns."""
     options = options or NormalizeOptions()
-    state, small = mined or mine_raw(raw, options, prior)
+    mined = mined or mine_raw(raw, options, prior)
     df = parse_known(raw, options)
     df = templates.tokenize_lines(df, F.col("detected_format") == "unknown", options.depth)
-    df = attach_by_key(df, state.select("leaf", "break_seq"), "leaf", small)
-    df = df.withColumn("_values", F.when(
-        F.col("leaf").isNotNull(), templates.mined_values(options.mode)))
-    df = df.withColumn("_guess", F.when(
-        F.col("leaf").isNotNull(), templates.classify_tokens(F.col("_values"))))
-    return _shape(df, options)
+    return _shape(with_guess(df, mined, options), options)
 
 
 def outcomes_known(raw: DataFrame, fmt: str, options: NormalizeOptions | None = None,
@@ -135,12 +169,9 @@ def outcomes_unknown(raw: DataFrame, options: NormalizeOptions | None = None,
                      prior: DataFrame | None = None) -> DataFrame:
     """Outcomes of the events in no known format."""
     options = options or NormalizeOptions()
-    state, small = mine_raw(raw, options, prior)
+    mined = mine_raw(raw, options, prior)
     df = unknown_lines(raw, options.depth).withColumn("detected_format", F.lit("unknown"))
-    df = attach_by_key(df, state.select("leaf", "break_seq"), "leaf", small)
-    df = df.withColumn("_values", templates.mined_values(options.mode))
-    df = df.withColumn("_guess", templates.classify_tokens(F.col("_values")))
-    return _shape(df, options)
+    return _shape(with_guess(df, mined, options), options)
 
 
 def evaluate_once(df: DataFrame, passed: list[str], *computed: Column) -> DataFrame:

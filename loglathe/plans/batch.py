@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loglathe.functions.clock import utc_now
 from loglathe.operators.normalize import (
-    NormalizeOptions, mine_raw, normalized_events, outcomes, to_raw_events,
+    NormalizeOptions, learned_state, mine_raw, normalized_events, outcomes, to_raw_events,
 )
-from loglathe.operators.templates import leaf_state
 from loglathe.plans import queries
 from loglathe.sources import tables
 from loglathe.sources.files import scan_logs
@@ -72,9 +71,9 @@ def ingest_lines(store: EventStore, lines: DataFrame, options: NormalizeOptions
     stored = store.raw(run)
     prior = None
     if prior_run is not None:
-        prior = tables.read_leaf_state(store.spark, store.template_path, prior_run)
+        prior = tables.read_templates(store.spark, store.template_path, prior_run, options)
     mined = mine_raw(stored, options, prior)
-    tables.write_leaf_state(leaf_state(mined[0]), store.template_path, run)
+    tables.write_templates(learned_state(mined[0], options), store.template_path, run, options)
     tables.write_outcomes(outcomes(stored, options, mined=mined), store.outcome_path, run)
     return run
 

@@ -12,7 +12,7 @@ from loglathe.contracts import (
     LINES_SCHEMA, NORMALIZED_EVENT_COLUMNS, QUARANTINE_COLUMNS, RAW_EVENT_COLUMNS,
 )
 from loglathe.functions.clock import ist_display
-from loglathe.operators import detect, enrich, templates
+from loglathe.operators import detect, enrich, sequential, templates
 from loglathe.operators.normalize import (
     NormalizeOptions, mine_raw, outcomes, outcomes_known, outcomes_of_known_formats,
     outcomes_unknown, parse_errors, unknown_lines,
@@ -31,6 +31,9 @@ TWO_PASS = NormalizeOptions(assumed_year=fixtures.ASSUMED_YEAR, normalized_at=fi
 
 _OUTCOME_COLUMNS = ["detected_format", "status", "error_reason", *NORMALIZED_EVENT_COLUMNS]
 
+SEQUENTIAL = NormalizeOptions(assumed_year=fixtures.ASSUMED_YEAR, normalized_at=fixtures.CLOCK,
+                              mode=templates.MODE_SEQUENTIAL)
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -173,6 +176,11 @@ def normalize_unknown_two_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes_unknown(_raw(spark, sf_dir), TWO_PASS).select(_OUTCOME_COLUMNS)
 
 
+@query
+def normalize_unknown_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outcomes_unknown(_raw(spark, sf_dir), SEQUENTIAL).select(_OUTCOME_COLUMNS)
+
+
 # -- template mining -------------------------------------------------------------
 
 @query
@@ -217,6 +225,25 @@ def template_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("template", " ").alias("template"), "n_lines")
 
 
+@query
+def mine_templates_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw(spark, sf_dir)
+    clusters, small = mine_raw(raw, SEQUENTIAL)
+    lines = attach_by_key(unknown_lines(raw), clusters, "leaf", small)
+    lines = lines.withColumn("cluster", sequential.line_cluster())
+    return lines.select(
+        "seq", "leaf", sequential.sequential_template(F.col("cluster")).alias("template"))
+
+
+@query
+def template_table_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The templates of free text: all lines of all documents, many rare shapes."""
+    lines = templates.tokenize_lines(fixtures.document_lines(spark, sf_dir))
+    state, _ = templates.mine_leaves(lines.select("leaf", "seq", "tokens"))
+    return templates.template_table(state).select(
+        "leaf_key", F.sha2(F.array_join("template", " "), 256).alias("template_hash"), "n_lines")
+
+
 # -- joins and enrichment ----------------------------------------------------------
 
 @query

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loglathe.contracts import NORMALIZED_EVENT_SCHEMA, QUARANTINE_COLUMNS, RAW_EVENT_SCHEMA
-from loglathe.operators.normalize import normalized_events
-from loglathe.operators.templates import LEAF_STATE_SCHEMA
+from loglathe.operators.normalize import NormalizeOptions, normalized_events
+from loglathe.operators.sequential import CLUSTER_STATE_SCHEMA
+from loglathe.operators.templates import LEAF_STATE_SCHEMA, MODE_SEQUENTIAL
 
 RAW_BLOOM = ["event_id"]
 OUTCOME_BLOOM = ["raw_event_id", "normalized_id", "src_ip", "dst_ip"]
@@ -97,9 +98,17 @@ def duplicate_ids(df: DataFrame, id_column: str) -> DataFrame:
 
 # -- learned templates -------------------------------------------------------
 
-def write_leaf_state(state: DataFrame, path: str, run: str) -> None:
-    _write(state.select(LEAF_STATE_SCHEMA.fieldNames()), f"{path}/run={run}", [], [])
+def _state_schema(options: NormalizeOptions) -> T.StructType:
+    if options.mode == MODE_SEQUENTIAL:
+        return T.StructType.fromDDL(CLUSTER_STATE_SCHEMA)
+    return LEAF_STATE_SCHEMA
 
 
-def read_leaf_state(spark: SparkSession, path: str, run: str) -> DataFrame:
-    return _read(spark, f"{path}/run={run}", LEAF_STATE_SCHEMA)
+def write_templates(state: DataFrame, path: str, run: str, options: NormalizeOptions) -> None:
+    """One folder per run: what was learned up to and including that run."""
+    _write(state.select(_state_schema(options).fieldNames()), f"{path}/run={run}", [], [])
+
+
+def read_templates(spark: SparkSession, path: str, run: str,
+                   options: NormalizeOptions) -> DataFrame:
+    return _read(spark, f"{path}/run={run}", _state_schema(options))

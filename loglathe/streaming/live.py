@@ -15,8 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loglathe.contracts import RAW_EVENT_SCHEMA
 from loglathe.functions.clock import ISO_UTC, utc_now
-from loglathe.operators.normalize import NormalizeOptions, mine_raw, outcomes, to_raw_events
-from loglathe.operators.templates import leaf_state
+from loglathe.operators.normalize import (
+    NormalizeOptions, learned_state, mine_raw, outcomes, to_raw_events,
+)
 from loglathe.plans.batch import EventStore
 from loglathe.sources import tables, tail
 
@@ -70,10 +71,11 @@ def process_batch(store: EventStore, options: NormalizeOptions, raw: DataFrame,
     options = replace(options, normalized_at=options.normalized_at or utc_now())
     prior = None
     if batch_id > 0:
-        prior = tables.read_leaf_state(store.spark, store.template_path, _run_of(batch_id - 1))
+        prior = tables.read_templates(
+            store.spark, store.template_path, _run_of(batch_id - 1), options)
     mined = mine_raw(raw, options, prior)
     run = _run_of(batch_id)
-    tables.write_leaf_state(leaf_state(mined[0]), store.template_path, run)
+    tables.write_templates(learned_state(mined[0], options), store.template_path, run, options)
     tables.write_outcomes(outcomes(raw, options, mined=mined), store.outcome_path, run)
 
 

@@ -307,12 +307,34 @@ ORACLES: dict[str, str] = {
     "normalize_cef": _one_format(_CEF_CTE, "n_cef"),
     "normalize_unknown": _one_format(_unknown_cte("wild"), "n_unknown"),
     "normalize_unknown_two_pass": _one_format(_unknown_cte("wild_final"), "n_unknown"),
+    "normalize_unknown_sequential": _one_format(_unknown_cte("wild"), "n_unknown"),
     # template mining
     "tokenize_unknown": f"""WITH {_RAW_CTE}, {_TOKENS_CTE} SELECT seq, len(tokens) AS n_tokens,
         array_to_string(tokens, ' ') AS token_text FROM leafs""",
     "mine_templates": f"""WITH {_RAW_CTE}, {_TOKENS_CTE} SELECT seq, leaf,
         string_agg(CASE WHEN wild THEN '<*>' ELSE tok END, ' ' ORDER BY pos) AS template
         FROM runs GROUP BY 1, 2""",
+    "mine_templates_sequential": f"""WITH {_RAW_CTE}, {_TOKENS_CTE} SELECT seq, leaf,
+        string_agg(CASE WHEN wild THEN '<*>' ELSE tok END, ' ' ORDER BY pos) AS template
+        FROM runs GROUP BY 1, 2""",
+    "template_table_text": r"""WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS parts
+          FROM documents),
+        txt AS (SELECT doc_id * 1000000 + generate_subscripts(parts, 1) - 1 AS seq,
+          regexp_replace(replace(replace(unnest(parts), '|', ' '), '=', ' '),
+            '[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+',
+            ' ', 'g') AS spaced, trim(unnest(parts), chr(32) || chr(9) || chr(13)) AS line FROM docs),
+        split AS (SELECT seq, list_filter(string_split(spaced, ' '), lambda x: x <> '') AS tokens
+          FROM txt WHERE line <> ''),
+        leafs AS (SELECT seq, tokens, CASE WHEN len(tokens) = 0 THEN '0' ELSE len(tokens) || ' ' ||
+          CASE WHEN regexp_matches(tokens[1], '[0-9]') THEN '<*>' ELSE tokens[1] END END AS leaf
+          FROM split),
+        toks AS (SELECT leaf, unnest(tokens) AS tok, generate_subscripts(tokens, 1) AS pos
+          FROM leafs),
+        lastly AS (SELECT leaf, pos, CASE WHEN min(tok) <> max(tok) THEN '<*>' ELSE min(tok) END
+          AS tok FROM toks GROUP BY 1, 2),
+        whole AS (SELECT leaf, string_agg(tok, ' ' ORDER BY pos) AS template FROM lastly GROUP BY 1)
+        SELECT leaf AS leaf_key, sha256(coalesce(template, '')) AS template_hash,
+          count(*) AS n_lines FROM leafs LEFT JOIN whole USING (leaf) GROUP BY 1, 2""",
     "template_values": f"""WITH {_RAW_CTE}, {_TOKENS_CTE} SELECT seq,
         coalesce(string_agg(tok, ' ' ORDER BY pos) FILTER (wild), '') AS value_text
         FROM runs GROUP BY 1""",
