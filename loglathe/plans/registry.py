@@ -66,7 +66,7 @@ def _store(spark: SparkSession, sf_dir: str) -> batch.EventStore:
 def log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landed")
     files.land_lines(fixtures.log_lines(spark, sf_dir), path)
-    return files.scan_logs(spark, path, "*.txt")
+    return files.scan_chunks(spark, path)
 
 
 @query

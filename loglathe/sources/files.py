@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -53,11 +55,7 @@ def in_file_order(df: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
-def _file_lines(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
-    text = spark.read.option("pathGlobFilter", glob).text(path)
-    landed = "source_name" in text.columns
-    source: Column = F.col("source_name").cast("string") if landed else F.col(
-        "_metadata.file_name")
+def _numbered(text: DataFrame, source: Column) -> DataFrame:
     lines = text.select(
         source.alias("source_name"),
         F.col("_metadata.file_path").alias("_file"),
@@ -68,24 +66,36 @@ def _file_lines(spark: SparkSession, path: str | list[str], glob: str) -> DataFr
     return in_file_order(clean_lines(lines), _SPLIT_KEY).select(LINES_SCHEMA.fieldNames())
 
 
-def scan_logs(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
-    """All non-blank lines of the matching files right below a folder.
-
-    The source is the file name, or, for landed chunks (see ``land_lines``), the
-    folder ``source_name=<name>``. A missing or empty folder has no lines.
-    """
+def _or_empty(spark: SparkSession, read: Callable[[], DataFrame]) -> DataFrame:
     try:
-        return _file_lines(spark, path, glob)
+        return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], LINES_SCHEMA)
         raise
 
 
+def scan_logs(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
+    """All non-blank lines of the matching files right below a folder.
+
+    The source of a line is its file name. A missing or empty folder has no lines.
+    """
+    return _or_empty(spark, lambda: _numbered(
+        spark.read.option("pathGlobFilter", glob).text(f"{path.rstrip('/')}/{glob}"),
+        F.col("_metadata.file_name")))
+
+
+def scan_chunks(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
+    """All non-blank lines of landed chunks (see ``land_lines``), sources from folders."""
+    return _or_empty(spark, lambda: _numbered(
+        spark.read.option("pathGlobFilter", glob).text(path),
+        F.col("source_name").cast("string")))
+
+
 def read_log_file(spark: SparkSession, path: str) -> DataFrame:
     """The non-blank lines of one file; raises OSError if it cannot be found."""
     try:
-        return _file_lines(spark, path, "*")
+        return _numbered(spark.read.text(path), F.col("_metadata.file_name"))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"could not read log file {path!r}") from error
