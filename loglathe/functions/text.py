@@ -20,8 +20,16 @@ _SEPARATOR = "\x01"
 
 
 def strip(text: Column) -> Column:
-    """Trim white space of any kind from both ends."""
-    return F.trim(text, F.lit(WHITESPACE))
+    """Trim white space of any kind from both ends.
+
+    Trimming against a long set of characters is slow and seldom needed, so texts
+    with a visible ASCII character at both ends are passed on as they are.
+    """
+    def visible(char: Column) -> Column:
+        return F.ascii(char).between(0x21, 0x7E)
+
+    return F.when(visible(text) & visible(F.substring(text, -1, 1)), text).otherwise(
+        F.trim(text, F.lit(WHITESPACE)))
 
 
 def capture(text: Column, pattern: str, groups: int) -> Column:
@@ -42,9 +50,13 @@ def tokens(text: Column, delimiters: str = EXTRA_DELIMITERS) -> Column:
         F.split(spaced, _WHITESPACE_RUN))
 
 
-def map_words(word: Column, table: Mapping[str, Sequence[str]], default: str) -> Column:
-    """Look a word up in a vocabulary table, ignoring case and outer white space."""
-    key = F.lower(strip(word))
+def word_key(word: Column) -> Column:
+    """The form in which words are looked up. Keep it in a column of its own."""
+    return F.lower(strip(word))
+
+
+def map_words(key: Column, table: Mapping[str, Sequence[str]], default: str) -> Column:
+    """Look the key of a word up in a vocabulary table."""
     expr = None
     for value, words in table.items():
         hit = key.isin(*words)
@@ -54,8 +66,9 @@ def map_words(word: Column, table: Mapping[str, Sequence[str]], default: str) ->
 
 def to_bigint(text: Column) -> Column:
     """Whole-number text to BIGINT; signs and single inner underscores are allowed."""
+    plain = F.when(text.rlike(r"^[0-9]{1,18}$"), text.try_cast("bigint"))
     digits = strip(text)
-    return F.when(
+    return plain.when(
         digits.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"),
         F.translate(digits, "_", "").try_cast("bigint"),
     )

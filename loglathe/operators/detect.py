@@ -38,23 +38,30 @@ def is_json_object(raw_text: Column) -> Column:
     return F.when(text.startswith("{"), is_strict_json(text)).otherwise(False)
 
 
+def _has_cef_shape(text: Column) -> Column:
+    return text.startswith("CEF:")
+
+
+def _has_syslog_shape(text: Column) -> Column:
+    return text.rlike(BSD_SYSLOG_SHAPE) | text.rlike(IETF_SYSLOG_SHAPE)
+
+
 def is_cef(raw_text: Column) -> Column:
-    return strip(raw_text).startswith("CEF:")
+    return _has_cef_shape(strip(raw_text))
 
 
 def is_syslog(raw_text: Column) -> Column:
-    text = strip(raw_text)
-    return text.rlike(BSD_SYSLOG_SHAPE) | text.rlike(IETF_SYSLOG_SHAPE)
+    return _has_syslog_shape(strip(raw_text))
 
 
 def format_of(is_json: Column, text: Column) -> Column:
-    """JSON, then CEF, then syslog, else unknown."""
+    """JSON, then CEF, then syslog, else unknown, for a text that is stripped already."""
     return (
-        F.when(is_json, "json").when(is_cef(text), "cef").when(is_syslog(text), "syslog")
-        .otherwise("unknown")
+        F.when(is_json, "json").when(_has_cef_shape(text), "cef")
+        .when(_has_syslog_shape(text), "syslog").otherwise("unknown")
     )
 
 
 def detect_format(raw_text: Column) -> Column:
     """The format of a line by its shape; null and blank are unknown."""
-    return format_of(is_json_object(raw_text), raw_text)
+    return format_of(is_json_object(raw_text), strip(raw_text))

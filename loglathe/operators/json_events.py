@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import cache
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loglathe.contracts import JSON_KEYS
 from loglathe.operators.fields import found_struct
+from loglathe.operators.stages import Stages
 
-_NUMBER_TYPES = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 # Fields that count only when the JSON value is a string.
 _WORD_FIELDS = ["action", "protocol", "severity"]
 _PORT_FIELDS = ["src_port", "dst_port"]
@@ -16,39 +18,38 @@ _PORT_FIELDS = ["src_port", "dst_port"]
 _TEXT_FIELDS = ["src_ip", "dst_ip", "device_vendor"]
 
 
-def find_json(df: DataFrame, when: Column, text: Column, in_array: Column,
-              out: str) -> DataFrame:
-    """Add ``out``, the texts found in a line, for the rows where ``when`` holds.
+def _kind(value: Column, as_json: Column) -> Column:
+    """STRING, BIGINT, another number, or null for all else, from its JSON form.
 
-    ``in_array`` is the line parsed as the only element of an array, null if invalid.
+    Only numbers need their exact type: 443.0 is kept as the decimal 443.
     """
-    df = df.withColumn("_js", F.when(when, F.try_variant_get(in_array, "$[0]", "variant")))
-    is_object = F.startswith(F.schema_of_variant("_js"), F.lit("OBJECT"))
-    df = df.withColumns({
-        "_js_map": F.when(is_object, F.col("_js").cast("map<string,variant>")),
-        # A VARIANT keeps its keys sorted; the text still has them in document order.
-        # Newest key first, so that the first hit of a lower-cased key is the last one.
-        "_js_keys": F.when(is_object, F.reverse(F.array_distinct(F.json_object_keys(text)))),
-    })
-    df = df.withColumn("_js_lower", F.transform("_js_keys", lambda k: F.lower(k)))
+    return (
+        F.when(as_json.startswith('"'), "STRING")
+        .when(as_json.rlike("^[-0-9]"), F.schema_of_variant(value))
+    )
+
 
-    def entry(lowered: Column) -> Column:
-        key = F.get("_js_keys", F.array_position("_js_lower", lowered).cast("int") - 1)
-        value = F.try_element_at("_js_map", key)
-        kind = F.schema_of_variant(value)
-        # A JSON null is as good as an absent key.
-        found = F.when(~F.is_variant_null(value), F.struct(
-            value.cast("string").alias("text"), kind.alias("kind")))
-        return F.struct(lowered, found)
+def _entry(lowered: Column) -> Column:
+    """The wanted key with the text and kind of its value."""
+    key = F.get("_js_keys", F.array_position("_js_lower", lowered).cast("int") - 1)
+    value = F.try_element_at("_js_map", key)
+    # A JSON null is as good as an absent key.
+    found = F.when(~F.is_variant_null(value), F.struct(
+        value.cast("string").alias("text"), _kind(value, F.to_json(value)).alias("kind")))
+    return F.struct(lowered, found)
 
+
+@cache
+def json_stages(only: bool) -> Stages:
+    """``_json``, the texts found in ``_text``; null for lines of other formats.
+
+    ``_json_array`` holds the line parsed as the only element of an array, null if
+    that fails.
+    """
+    when = F.lit(True) if only else F.col("detected_format") == "json"
+    is_object = F.col("_js").isNotNull() & F.startswith("_text", F.lit("{"))
     wanted = sorted({alias for aliases in JSON_KEYS.values() for alias in aliases})
     known = F.array(*[F.lit(alias) for alias in wanted])
-    df = df.withColumn("_js_found", F.map_from_entries(F.transform(
-        F.array_intersect("_js_lower", known), entry)))
-    df = df.withColumns({
-        f"_js_{field}": F.coalesce(*[F.try_element_at("_js_found", F.lit(a)) for a in aliases])
-        for field, aliases in JSON_KEYS.items()
-    })
 
     def value_of(field: str) -> Column:
         return F.col(f"_js_{field}")
@@ -63,10 +64,19 @@ def find_json(df: DataFrame, when: Column, text: Column, in_array: Column,
     error = (
         F.when(F.col("_js").isNull(), "json").when(F.col("_js_map").isNull(), "not_object")
     )
-    df = df.withColumn(out, F.when(when, found_struct(
-        epoch=F.when(time["kind"].rlike(_NUMBER_TYPES), time["text"].try_cast("double")),
-        time=F.when(time["kind"] == "STRING", time["text"]),
-        error_reason=error, **when_string, **when_whole, **as_text,
-    )))
-    return df.drop("_js", "_js_map", "_js_keys", "_js_lower", "_js_found",
-                   *[f"_js_{f}" for f in JSON_KEYS])
+    return [
+        {"_js": F.when(when, F.try_variant_get("_json_array", "$[0]", "variant"))},
+        {"_js_map": F.when(is_object, F.col("_js").cast("map<string,variant>")),
+         # A VARIANT keeps its keys sorted; the text still has them in document order.
+         # Newest key first, so that the first hit of a lower-cased key is the last one.
+         "_js_keys": F.when(is_object, F.reverse(F.array_distinct(F.json_object_keys("_text"))))},
+        {"_js_lower": F.transform("_js_keys", lambda k: F.lower(k))},
+        {"_js_found": F.map_from_entries(F.transform(
+            F.array_intersect("_js_lower", known), _entry))},
+        {f"_js_{field}": F.coalesce(*[F.try_element_at("_js_found", F.lit(a)) for a in aliases])
+         for field, aliases in JSON_KEYS.items()},
+        {"_json": F.when(when, found_struct(
+            epoch=F.when((time["kind"] != "STRING"), time["text"].try_cast("double")),
+            time=F.when(time["kind"] == "STRING", time["text"]),
+            error_reason=error, **when_string, **when_whole, **as_text))},
+    ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +14,13 @@ from loglathe.contracts import (
 from loglathe.functions.clock import utc_now
 from loglathe.functions.text import sha256_of, strip
 from loglathe.operators import sequential, templates
-from loglathe.operators.cef import find_cef
+from loglathe.operators.cef import cef_stages
 from loglathe.operators.detect import detect_format, format_of, json_in_array, json_in_object
-from loglathe.operators.fields import finish_fields
-from loglathe.operators.json_events import find_json
+from loglathe.operators.fields import finish_stages
+from loglathe.operators.json_events import json_stages
 from loglathe.operators.skew import attach_by_key
-from loglathe.operators.syslog import find_syslog
+from loglathe.operators.stages import Stages, apply_stages
+from loglathe.operators.syslog import syslog_stages
 
 
 @dataclass(frozen=True)
@@ -41,11 +43,6 @@ class NormalizeOptions:
         if self.mode not in templates.MODES:
             raise ValueError(f"mode must be one of {templates.MODES}: {self.mode}")
 
-    def year(self) -> Column:
-        if self.assumed_year is not None:
-            return F.lit(self.assumed_year)
-        return F.substring("ingested_at", 1, 4).cast("int")
-
 
 def to_raw_events(lines: DataFrame, ingested_at: str | None = None) -> DataFrame:
     """Give every line its identity and ingestion time.
@@ -64,6 +61,31 @@ def to_raw_events(lines: DataFrame, ingested_at: str | None = None) -> DataFrame
     )
 
 
+@cache
+def _known_stages(formats: tuple[str, ...], detect: bool, assumed_year: int | None) -> Stages:
+    fmt, text, only = F.col("detected_format"), F.col("_text"), len(formats) == 1
+    # The JSON value is parsed once, for detection and for the fields.
+    in_array = json_in_array(text)
+    is_json = F.col("_json_array").isNotNull() & json_in_object(text).isNotNull()
+    if detect:
+        in_array = F.when(text.startswith("{"), in_array)
+    else:
+        in_array = F.when(json_in_object(text).isNotNull(), in_array)
+    stages: Stages = [
+        {"_text": strip(F.col("raw_text"))},
+        {"_json_array": in_array},
+        {"detected_format": F.lit(formats[0]) if only else format_of(is_json, text)},
+    ]
+    if "syslog" in formats:
+        stages += syslog_stages(only, assumed_year)
+    if "cef" in formats:
+        stages += cef_stages(only)
+    if "json" in formats:
+        stages += json_stages(only)
+    stages.append({"found": F.coalesce(*[f"_{name}" for name in formats])})
+    return stages + finish_stages()
+
+
 def parse_known(raw: DataFrame, options: NormalizeOptions,
                 formats: tuple[str, ...] = ("json", "cef", "syslog"),
                 detect: bool = True) -> DataFrame:
@@ -71,32 +93,10 @@ def parse_known(raw: DataFrame, options: NormalizeOptions,
 
     With ``detect=False`` every line is taken to be of the one format named.
     """
-    df = raw.withColumn("_text", strip(F.col("raw_text")))
-    fmt, text, one = F.col("detected_format"), F.col("_text"), len(formats) == 1
-    # The JSON value is parsed once, for detection and for the fields.
-    df = df.withColumn("_json_array", F.when(
-        text.startswith("{") | F.lit(not detect), json_in_array(text)))
-    is_json = F.col("_json_array").isNotNull() & json_in_object(text).isNotNull()
-    if detect and one:
-        df = df.filter(detect_format(F.col("raw_text")) == formats[0])
-    if one:
-        df = df.withColumn("detected_format", F.lit(formats[0]))
-    else:
-        df = df.withColumn("detected_format", format_of(is_json, text))
-
-    def when(name: str) -> Column:
-        return F.lit(True) if one else fmt == name
-
-    if "syslog" in formats:
-        df = find_syslog(df, when("syslog"), text, options.year(), "_syslog")
-    if "cef" in formats:
-        df = find_cef(df, when("cef"), text, "_cef")
-    if "json" in formats:
-        parsed = F.col("_json_array") if detect else F.when(is_json, F.col("_json_array"))
-        df = find_json(df, when("json"), text, parsed, "_json")
-    df = df.withColumn("found", F.coalesce(*[f"_{name}" for name in formats]))
-    df = df.drop("_text", "_json_array", *[f"_{name}" for name in formats])
-    return finish_fields(df, fmt, F.col("ingested_at"))
+    if detect and len(formats) == 1:
+        raw = raw.filter(detect_format(F.col("raw_text")) == formats[0])
+    stages = _known_stages(formats, detect, options.assumed_year)
+    return apply_stages(raw, stages, keep=["detected_format", "parsed"])
 
 
 def unknown_lines(raw: DataFrame, depth: int = templates.DEFAULT_DEPTH) -> DataFrame:
@@ -123,6 +123,11 @@ def learned_state(mined: DataFrame, options: NormalizeOptions) -> DataFrame:
     return templates.leaf_state(mined)
 
 
+@cache
+def _guess_of_values() -> Column:
+    return templates.classify_tokens(F.col("_values"))
+
+
 def with_guess(df: DataFrame, mined: tuple[DataFrame, bool],
                options: NormalizeOptions) -> DataFrame:
     """Add ``_guess``, the fields guessed from ``tokens``, where there is a ``leaf``."""
@@ -136,7 +141,7 @@ def with_guess(df: DataFrame, mined: tuple[DataFrame, bool],
         df = attach_by_key(df, state.select("leaf", "break_seq"), "leaf", small)
         values = templates.mined_values(options.mode)
     df = df.withColumn("_values", F.when(here, values))
-    return df.withColumn("_guess", F.when(here, templates.classify_tokens(F.col("_values"))))
+    return df.withColumn("_guess", F.when(here, _guess_of_values()))
 
 
 def outcomes(raw: DataFrame, options: NormalizeOptions | None = None,
@@ -185,10 +190,9 @@ def evaluate_once(df: DataFrame, passed: list[str], *computed: Column) -> DataFr
     return df.select(*passed, F.inline(F.array(F.struct(*computed))))
 
 
-def _shape(df: DataFrame, options: NormalizeOptions) -> DataFrame:
-    """Fixed output columns from ``parsed`` and / or ``_guess``."""
-    fmt = F.col("detected_format")
-    has_parsed, has_guess = "parsed" in df.columns, "_guess" in df.columns
+@cache
+def _output_columns(has_parsed: bool, has_guess: bool) -> list[Column]:
+    """``PARSED_FIELDS`` from ``parsed`` and / or ``_guess``."""
     fixed = {"protocol": "UNKNOWN", "severity": "unknown", "device_vendor": None,
              "error_reason": None}
 
@@ -201,27 +205,40 @@ def _shape(df: DataFrame, options: NormalizeOptions) -> DataFrame:
             guess = F.coalesce(F.col("_guess")[name], F.col("ingested_at"))
         else:
             guess = F.col("_guess")[name]
-        return F.when(fmt == "unknown", guess).otherwise(F.col("parsed")[name]) if has_parsed \
-            else guess
+        if not has_parsed:
+            return guess
+        return F.when(F.col("detected_format") == "unknown", guess).otherwise(
+            F.col("parsed")[name])
 
-    df = df.select(
-        F.col("event_id").alias("raw_event_id"), "source_name", "seq", "detected_format",
-        *[field(name).alias(name) for name in PARSED_FIELDS],
-    )
+    return [field(name).alias(name) for name in PARSED_FIELDS]
+
+
+@cache
+def _outcome_columns(normalized_at: str) -> list[Column]:
+    fmt = F.col("detected_format")
     failed = F.col("error_reason").isNotNull()
     # A failed line has an outcome but no event.
     event = F.when(~failed, F.struct(
         F.sha2(F.concat("raw_event_id", F.lit("n")), 256).alias("normalized_id"),
         *[F.col(name) for name in PARSED_FIELDS if name != "error_reason"],
         F.when(fmt == "unknown", "low").otherwise("high").alias("parser_confidence"),
-        F.lit(options.normalized_at or utc_now()).alias("normalized_at"),
+        F.lit(normalized_at).alias("normalized_at"),
     ))
-    return evaluate_once(
-        df, ["raw_event_id", "source_name", "seq"],
+    return [
         fmt.alias("detected_format"),
         F.when(failed, STATUS_PARSE_ERROR).otherwise(STATUS_NORMALIZED).alias("status"),
         F.col("error_reason"), fmt.alias("source_format"), event.alias("_event"),
-    ).select("*", "_event.*").drop("_event")
+    ]
+
+
+def _shape(df: DataFrame, options: NormalizeOptions) -> DataFrame:
+    """The fixed output columns."""
+    fields = _output_columns("parsed" in df.columns, "_guess" in df.columns)
+    df = df.select(F.col("event_id").alias("raw_event_id"), "source_name", "seq",
+                   "detected_format", *fields)
+    columns = _outcome_columns(options.normalized_at or utc_now())
+    df = evaluate_once(df, ["raw_event_id", "source_name", "seq"], *columns)
+    return df.select("*", "_event.*").drop("_event")
 
 
 def normalized_events(outcome: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import cache
+
 from pyspark.sql import functions as F
 
 from loglathe.functions.clock import bsd_as_iso
 from loglathe.functions.text import capture
 from loglathe.operators.fields import found_struct
+from loglathe.operators.stages import Stages
 
 # Message shapes (fixed values). ``(?d)``: only a line feed ends a line.
 _HEADER = r"(?d)^([A-Z][a-z]{2})\s+(\d{1,2})\s+(\d{2}:\d{2}:\d{2})\s+(\S+)\s+(.+)$"
@@ -25,26 +27,20 @@ _VPN = (
 )
 
 
-def find_syslog(df: DataFrame, when: Column, text: Column, assumed_year: Column,
-                out: str) -> DataFrame:
-    """Add ``out``, the texts found in a line, for the rows where ``when`` holds."""
-    df = df.withColumn("_sys_head", F.when(when, capture(text, _HEADER, 5)))
+@cache
+def syslog_stages(only: bool, assumed_year: int | None) -> Stages:
+    """``_syslog``, the texts found in ``_text``; null for lines of other formats.
+
+    ``only`` says that all lines are syslog. Without ``assumed_year`` the year of
+    ingestion completes a date.
+    """
+    when = F.lit(True) if only else F.col("detected_format") == "syslog"
+    year = (F.substring("ingested_at", 1, 4) if assumed_year is None
+            else F.lit(f"{assumed_year:04d}"))
     head = [F.get("_sys_head", F.lit(i)) for i in range(5)]
-    df = df.withColumns({
-        "_sys_message": head[4],
-        "_sys_tag": capture(head[4], _TAG, 4),
-        "_sys_time": bsd_as_iso(head[0], head[1], head[2], assumed_year),
-    })
     tag = [F.get("_sys_tag", F.lit(i)) for i in range(4)]
-    df = df.withColumn("_sys_text", F.coalesce(tag[3], F.col("_sys_message")))
-    body = F.col("_sys_text")
-    # The message types in order of precedence; an array of its fields behind its name.
-    df = df.withColumn("_sys_body", F.coalesce(
-        F.concat(F.array(F.lit("deny")), capture(body, _DENY, 5)),
-        F.concat(F.array(F.lit("built")), capture(body, _BUILT, 5)),
-        F.concat(F.array(F.lit("vpn")), capture(body, _VPN, 4)),
-    ))
     part = [F.get("_sys_body", F.lit(i)) for i in range(6)]
+    body = F.col("_sys_text")
     flow = part[0] != "vpn"
     action = (
         F.when(part[0] == "deny", "deny").when(part[0] == "built", "allow")
@@ -55,16 +51,26 @@ def find_syslog(df: DataFrame, when: Column, text: Column, assumed_year: Column,
         .when(F.col("_sys_time").isNull(), "timestamp")
         .when(F.col("_sys_body").isNull(), "body")
     )
-    df = df.withColumn(out, F.when(when, found_struct(
-        time=F.col("_sys_time"),
-        src_ip=F.when(flow, part[2]).otherwise(part[3]),
-        dst_ip=F.when(flow, part[4]),
-        src_port=F.when(flow, part[3]),
-        dst_port=F.when(flow, part[5]),
-        action=action,
-        protocol=F.when(flow, part[1]),
-        device_vendor=F.when(F.startswith("_sys_message", F.lit("%ASA-")), "Cisco"),
-        severity=tag[1],
-        error_reason=error,
-    )))
-    return df.drop("_sys_head", "_sys_message", "_sys_tag", "_sys_time", "_sys_text", "_sys_body")
+    return [
+        {"_sys_head": F.when(when, capture(F.col("_text"), _HEADER, 5))},
+        {"_sys_message": head[4],
+         "_sys_tag": capture(head[4], _TAG, 4),
+         "_sys_time": bsd_as_iso(head[0], head[1], head[2], year)},
+        {"_sys_text": F.coalesce(tag[3], F.col("_sys_message"))},
+        # The message types in order of precedence; an array of its fields behind its name.
+        {"_sys_body": F.coalesce(
+            F.concat(F.array(F.lit("deny")), capture(body, _DENY, 5)),
+            F.concat(F.array(F.lit("built")), capture(body, _BUILT, 5)),
+            F.concat(F.array(F.lit("vpn")), capture(body, _VPN, 4)))},
+        {"_syslog": F.when(when, found_struct(
+            time=F.col("_sys_time"),
+            src_ip=F.when(flow, part[2]).otherwise(part[3]),
+            dst_ip=F.when(flow, part[4]),
+            src_port=F.when(flow, part[3]),
+            dst_port=F.when(flow, part[5]),
+            action=action,
+            protocol=F.when(flow, part[1]),
+            device_vendor=F.when(F.startswith("_sys_message", F.lit("%ASA-")), "Cisco"),
+            severity=tag[1],
+            error_reason=error))},
+    ]

@@ -207,7 +207,7 @@ def classify_tokens(values: Column) -> Column:
             F.when(new_dst, address).otherwise(seen["dst_ip"]).alias("dst_ip"),
             F.when(new_src | src_port_here, port).otherwise(seen["src_port"]).alias("src_port"),
             F.when(new_dst | dst_port_here, port).otherwise(seen["dst_port"]).alias("dst_port"),
-            F.when(acts, map_words(text, UNKNOWN_ACTION_WORDS, "unknown"))
+            F.when(acts, map_words(F.lower(text), UNKNOWN_ACTION_WORDS, "unknown"))
             .otherwise(seen["action"]).alias("action"),
             F.when(kind == "address", text).alias("last_address"),
         )

@@ -15,6 +15,9 @@ REQUIRED_SETTINGS = {
     # Re-plan joins on measured sizes and split skewed partitions.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes of code. A long projection is
+    # faster outside whole-stage code, where Spark splits it into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

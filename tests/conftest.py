@@ -22,6 +22,7 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("loglathe-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
