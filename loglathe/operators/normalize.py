@@ -19,7 +19,7 @@ from loglathe.operators.detect import detect_format, format_of, json_in_array, j
 from loglathe.operators.fields import finish_stages
 from loglathe.operators.json_events import json_stages
 from loglathe.operators.skew import attach_by_key
-from loglathe.operators.stages import Stages, apply_stages
+from loglathe.operators.stages import Stages, apply_stages, side_by_side
 from loglathe.operators.syslog import syslog_stages
 
 
@@ -76,12 +76,9 @@ def _known_stages(formats: tuple[str, ...], detect: bool, assumed_year: int | No
         {"_json_array": in_array},
         {"detected_format": F.lit(formats[0]) if only else format_of(is_json, text)},
     ]
-    if "syslog" in formats:
-        stages += syslog_stages(only, assumed_year)
-    if "cef" in formats:
-        stages += cef_stages(only)
-    if "json" in formats:
-        stages += json_stages(only)
+    chains = {"syslog": lambda: syslog_stages(only, assumed_year),
+              "cef": lambda: cef_stages(only), "json": lambda: json_stages(only)}
+    stages += side_by_side([chains[name]() for name in formats])
     stages.append({"found": F.coalesce(*[f"_{name}" for name in formats])})
     return stages + finish_stages()
 

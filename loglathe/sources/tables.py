@@ -30,7 +30,8 @@ OUTCOME_SCHEMA = T.StructType(
 
 
 def _write(df: DataFrame, path: str, bloom: list[str], partition_by: list[str]) -> None:
-    writer = df.write.mode("overwrite")
+    # Filters sized by the values found, not by the largest size allowed.
+    writer = df.write.mode("overwrite").option("parquet.bloom.filter.adaptive.enabled", "true")
     for column in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if partition_by:
