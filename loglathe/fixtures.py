@@ -38,6 +38,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = f"events_{uuid.uuid4().hex}"
     events.createOrReplaceTempView(view)
     lines = spark.sql(LOG_LINES_SQL.replace("FROM events)", f"FROM {view})"))
+    spark.catalog.dropTempView(view)
     return evaluate_once(
         lines, ["seq"], F.col("source_name"), F.col("raw_text"),
     ).select("source_name", F.col("seq").alias("line_no"), "seq", "raw_text")

@@ -125,10 +125,11 @@ def test_templates_carry_over_to_the_next_run(raw_of, options):
     learned = mine_raw(raw_of([FIRST, SECOND]), options)[0]
     row = outcomes_unknown(raw_of([FIRST]), options, learned_state(learned, options)).first()
     assert (row["src_ip"], row["action"]) == ("192.168.5.6", "deny")
-    # One more line with a new difference wildcards one more position.
-    third = SECOND.replace("ALRT", "ALRT").replace("RULE", "POLICY")
+    # A line that differs at one more position, where only 3 of 9 tokens are left alike:
+    # one template per leaf takes it in, and a similarity of 0.4 does not.
+    third = SECOND.replace("RULE", "POLICY")
     again = outcomes_unknown(raw_of([third]), options, learned_state(learned, options)).first()
-    assert again["src_ip"] == "203.0.113.9"
+    assert again["src_ip"] == ("203.0.113.9" if options is OPTIONS else None)
 
 
 def random_lines(n, seed=11):
