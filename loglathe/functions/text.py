@@ -35,12 +35,15 @@ def strip(text: Column) -> Column:
 def capture(text: Column, pattern: str, groups: int) -> Column:
     """All groups of the first match as ``array<string>``, null without a match.
 
-    One test and one rewrite give every group, where ``regexp_extract`` would run
-    the pattern once per group. The pattern has to cover the whole text.
+    One test and one rewrite give every group, where ``regexp_extract`` runs the
+    pattern once per group; only texts that hold the separator themselves go that
+    way. The pattern has to cover the whole text.
     """
     rewrite = _SEPARATOR.join(f"${i}" for i in range(1, groups + 1))
     parts = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(rewrite)), _SEPARATOR, -1)
-    return F.when(text.rlike(pattern), parts)
+    one_by_one = F.array(*[F.regexp_extract(text, pattern, i) for i in range(1, groups + 1)])
+    return F.when(text.rlike(pattern), F.when(
+        F.contains(text, F.lit(_SEPARATOR)), one_by_one).otherwise(parts))
 
 
 def tokens(text: Column, delimiters: str = EXTRA_DELIMITERS) -> Column:
