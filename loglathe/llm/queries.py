@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loglathe.llm import exact_dedup, mixing
+from loglathe.llm import bpe, exact_dedup, fingerprints, mixing, pii
 from loglathe.session import configure_session
 
 Query = Callable[[SparkSession, str], DataFrame]
+# The vocabulary file the token queries use.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -31,6 +34,21 @@ def op1_mix(spark, sf_dir):
     return mixing.taken(_documents(spark, sf_dir, "source", "text"))
 
 
+@query
+def op3_pii(spark, sf_dir):
+    return pii.report(_documents(spark, sf_dir, "text"))
+
+
+@query
+def op5_fingerprints(spark, sf_dir):
+    return fingerprints.compare_neighbours(_documents(spark, sf_dir, "text"))
+
+
+@query
+def op6_bpe(spark, sf_dir):
+    return bpe.digests(_documents(spark, sf_dir, "text"), VOCABULARY)
+
+
 @query
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(_documents(spark, sf_dir, "text"))
