@@ -4,17 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglathe.llm import exact_dedup
+from loglathe.llm import bpe, exact_dedup, mixing, ngram_join, quality
 from loglathe.llm.common import stored
+from loglathe.llm.queries import VOCABULARY
 from loglathe.session import configure_session
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents that the quality classifier rejects."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
     return exact_dedup.deduplicate(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return ngram_join.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix, each as often as it is taken."""
+    return mixing.mixed(docs)
+
+
+def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return bpe.encode(docs, VOCABULARY)
+
+
 STAGES = [
+    ("quality classifier", keep_good),
     ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("source mix", mix_sources),
+    ("byte-pair encoding", to_tokens),
 ]
 
 # The quality classifier is trained on the labels, which SQL cannot express.

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loglathe.llm import bpe, exact_dedup, fingerprints, mixing, pii
+from loglathe.llm import (
+    bpe, exact_dedup, fingerprints, mixing, ngram_join, pii, quality,
+)
 from loglathe.session import configure_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,11 +36,23 @@ def op1_mix(spark, sf_dir):
     return mixing.taken(_documents(spark, sf_dir, "source", "text"))
 
 
+@query
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.components(_documents(spark, sf_dir, "text")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 @query
 def op3_pii(spark, sf_dir):
     return pii.report(_documents(spark, sf_dir, "text"))
 
 
+@query
+def op4_quality(spark, sf_dir):
+    return quality.judge(_documents(spark, sf_dir, "text", "source", "lang"),
+                         spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query
 def op5_fingerprints(spark, sf_dir):
     return fingerprints.compare_neighbours(_documents(spark, sf_dir, "text"))
