@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loglathe.llm.common import WORD_PATTERN, power_of_two, stored, text_or_empty
+from loglathe.llm.common import WORD_PATTERN, fresh, power_of_two, stored, text_or_empty
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
@@ -41,6 +41,7 @@ def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
         F.regexp_count(text_or_empty(), F.lit(WORD_PATTERN + "+")).cast("long").alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
               .cast("binary")).alias("place"),
+        F.xxhash64(text_or_empty()).alias("text_hash"),
     )
 
 
@@ -146,5 +147,30 @@ def taken(docs: DataFrame, **options) -> DataFrame:
     return mix.groupBy("src", "no_src", "range", "rank").agg(
         F.first("doc_id").alias("doc_id"), F.first("size").alias("size"),
         F.first("source_size").alias("source_size"), F.first("target").alias("target"),
-        F.sum("words").alias("taken"),
-    ).select("doc_id", "size", "source_size", "target", "taken")
+        F.first("text_hash").alias("text_hash"), F.sum("words").alias("taken"),
+    ).drop("range", "rank")
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """Whole documents, each as often as the mix takes its words, rounded; all columns kept.
+
+    Rows that agree in ``doc_id``, source and text count as one that is taken for all.
+    """
+    names = fresh(docs, "id_", "src_", "no_src_", "hash_", "copies_")
+    id_, src, no_src, hash_, copies = names
+    group = taken(docs, **options).withColumn(
+        "copies", F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0))
+    group = stored(group.groupBy("doc_id", "src", "no_src", "text_hash").agg(
+        F.sum("copies").cast("int").alias("copies"), F.count("*").alias("rows")
+    ).filter("copies > 0"), "copies")
+    renamed = group.select(
+        F.col("doc_id").alias(id_), F.col("src").alias(src), F.col("no_src").alias(no_src),
+        F.col("text_hash").alias(hash_), F.col("copies").alias(copies), "rows")
+    same = (
+        (F.xxhash64(text_or_empty()) == F.col(hash_)) & F.col("doc_id").eqNullSafe(F.col(id_))
+        & (F.coalesce("source", F.lit("")) == F.col(src)) & (F.col("source").isNull() == F.col(no_src)))
+    once = docs.join(renamed.filter("rows = 1").drop("rows"), same)
+    repeated = renamed.filter("rows > 1").drop("rows")
+    if not repeated.isEmpty():
+        once = once.unionByName(docs.join(repeated, same).dropDuplicates(names[:4]))
+    return once.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)

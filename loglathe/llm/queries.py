@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loglathe.llm import (
-    bpe, exact_dedup, fingerprints, mixing, ngram_join, pii, quality,
+    bpe, exact_dedup, fingerprints, katz, mixing, ngram_join, pii, quality, substring, url_filter,
 )
 from loglathe.session import configure_session
 
@@ -33,7 +33,8 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 @query
 def op1_mix(spark, sf_dir):
-    return mixing.taken(_documents(spark, sf_dir, "source", "text"))
+    return mixing.taken(_documents(spark, sf_dir, "source", "text")).select(
+        "doc_id", "size", "source_size", "target", "taken")
 
 
 @query
@@ -63,6 +64,24 @@ def op6_bpe(spark, sf_dir):
     return bpe.digests(_documents(spark, sf_dir, "text"), VOCABULARY)
 
 
+@query
+def op7_substring(spark, sf_dir):
+    """Passages of one document that another one has too."""
+    return substring.passages(_documents(spark, sf_dir, "text")).filter(
+        "NOT (doc_id <=> partner_id)")
+
+
+@query
+def op8_url_filter(spark, sf_dir):
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        "page_id", "url", "html"))
+
+
+@query
+def op10_katz(spark, sf_dir):
+    return katz.scores(_documents(spark, sf_dir, "text"))
+
+
 @query
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(_documents(spark, sf_dir, "text"))
