@@ -194,12 +194,15 @@ def in_ranges(docs: DataFrame) -> DataFrame:
     ids = docs.select(F.col("doc_id").cast("double").alias("id"))
     cuts = ids.approxQuantile("id", [i / parts for i in range(1, parts)], 0.05 / parts) if (
         parts > 1) else []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    # A null id goes to the bucket behind all others.
-    bucketizer = Bucketizer(splits=splits, inputCol="id", outputCol="range", handleInvalid="keep")
-    ranged = bucketizer.transform(docs.select(
-        "doc_id", text_or_empty().alias("text"), F.col("doc_id").cast("double").alias("id"))
-    ).select("doc_id", "text", F.col("range").cast("int").alias("range"))
+    cuts = sorted(set(cuts))
+    texts = docs.select("doc_id", text_or_empty().alias("text"), F.col("doc_id").cast("double").alias("id"))
+    if cuts:
+        # A null id goes to the bucket behind all others.
+        texts = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="id", outputCol="range",
+                           handleInvalid="keep").transform(texts)
+    else:
+        texts = texts.withColumn("range", F.col("id").isNull().cast("int"))
+    ranged = texts.select("doc_id", "text", F.col("range").cast("int").alias("range"))
     firsts = sorted(tuple(r) for r in ranged.groupBy("range").agg(F.min("doc_id")).collect())
     if not firsts:
         return ranged.select("doc_id", "text", F.lit(False).alias("guard"))
@@ -214,7 +217,7 @@ def in_ranges(docs: DataFrame) -> DataFrame:
                     & F.col("doc_id").eqNullSafe(F.col("first")), "left")
         .select("doc_id", "text", sent.alias("to"))
         .select("doc_id", "text", "to.*")
-        .repartitionById(len(splits) + 1, F.col("part"))
+        .repartitionById(len(cuts) + 2, F.col("part"))
         .sortWithinPartitions("guard", F.col("doc_id").asc_nulls_last(), "text")
         .select("doc_id", "text", "guard")
     )
