@@ -195,13 +195,14 @@ def in_ranges(docs: DataFrame) -> DataFrame:
     cuts = ids.approxQuantile("id", [i / parts for i in range(1, parts)], 0.05 / parts) if (
         parts > 1) else []
     cuts = sorted(set(cuts))
-    texts = docs.select("doc_id", text_or_empty().alias("text"), F.col("doc_id").cast("double").alias("id"))
+    texts = docs.select("doc_id", text_or_empty().alias("text"),
+                        F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan"))).alias("id"))
     if cuts:
         # A null id goes to the bucket behind all others.
         texts = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="id", outputCol="range",
                            handleInvalid="keep").transform(texts)
     else:
-        texts = texts.withColumn("range", F.col("id").isNull().cast("int"))
+        texts = texts.withColumn("range", F.isnan("id").cast("int"))
     ranged = texts.select("doc_id", "text", F.col("range").cast("int").alias("range"))
     firsts = sorted(tuple(r) for r in ranged.groupBy("range").agg(F.min("doc_id")).collect())
     if not firsts:

@@ -3,8 +3,9 @@
 One view sees the words of a text, the other its metadata: source, language, length and
 the make-up of lines and characters. Both are logistic regressions on the labelled rows.
 Over some rounds each view labels those rows of an unlabelled pool it is sure of, and the
-other view learns from them. Each view is then calibrated on labelled rows kept aside, and
-a last regression on the calibrated views scores every document.
+other view learns from them; how sure it must be shows on labelled rows kept aside. Each
+view is then calibrated on those, and a last regression on the calibrated views scores
+every document.
 
 The fit uses at most about ``LABELLED`` labelled rows and ``POOL`` unlabelled ones, chosen by a hash
 of ``doc_id``; the model holds words of ``MIN_DOCUMENTS`` of these rows or more. All
@@ -35,7 +36,10 @@ LABELLED = 12_000
 POOL = 6_000
 MIN_DOCUMENTS = 5
 ROUNDS = 3
+# A view hands over labels that were right this often on the rows kept aside, and only words
+# whose use differs between the classes by so many standard errors enter the text view.
 SURE = 0.97
+SIGNIFICANT = 3.0
 # Pseudo-labels that one view hands over in one round, at most, of each class.
 HANDED = 500
 KEEP = 0.5
@@ -113,6 +117,14 @@ def logistic(x, target: np.ndarray, weight: np.ndarray, decay: float, steps: int
     return w
 
 
+def _sure_from(certain: np.ndarray, right: np.ndarray) -> float:
+    """The least certainty from which on labels are right often enough."""
+    order = np.argsort(-certain, kind="stable")
+    share = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
+    enough = np.flatnonzero((share >= SURE) & (np.arange(len(order)) >= 9))
+    return float(certain[order[enough[-1]]]) if len(enough) else np.inf
+
+
 class Model:
     """What the fit leaves: a few weights per frequent word, and those of the metadata."""
 
@@ -148,30 +160,44 @@ class Model:
         known = [i for i, g in enumerate(good) if g is not None]
         # Every fifth labelled row is kept aside for calibration.
         aside, base = known[::5], [i for k, i in enumerate(known) if k % 5]
+        target = np.array([float(good[i]) for i in aside])
         pool = [i for i, g in enumerate(good) if g is None]
         # Per view: row -> label it learns from.
         learned = [{i: float(good[i]) for i in base} for _ in range(2)]
         for turn in range(ROUNDS + 1):
-            self.text = self._view(Sparse([text[i] for i in learned[0]], len(self.words)),
-                                   learned[0], 3e-5)
+            self.text = self._text_view([text[i] for i in learned[0]], learned[0])
             self.meta = self._view(Dense(meta[list(learned[1])]), learned[1], 1e-4)
             free = [i for i in pool if i not in learned[0] or i not in learned[1]]
             if turn == ROUNDS or not free:
                 break
             sure = [self._text_logit([text[i] for i in free]), self._meta_logit(meta[free])]
+            tried = [self._text_logit([text[i] for i in aside]), self._meta_logit(meta[aside])]
             for giver, taker in ((0, 1), (1, 0)):
-                p = _sigmoid(sure[giver])
-                for label, certain in ((1.0, p), (0.0, 1 - p)):
+                for label, sign in ((1.0, 1), (0.0, -1)):
+                    least = _sure_from(sign * tried[giver], target == label)
+                    certain = sign * sure[giver]
                     for k in np.argsort(-certain, kind="stable")[:HANDED]:
-                        if certain[k] >= SURE:
+                        if certain[k] >= least:
                             learned[taker].setdefault(free[k], label)
-        target = np.array([float(good[i]) for i in aside])
         views = [self._text_logit([text[i] for i in aside]), self._meta_logit(meta[aside])]
         one = np.ones(len(aside))
         # Platt's calibration of each view, then one more regression on both.
         self.calibration = [logistic(Dense(z[:, None] / 4), target, one, 1e-3, 300) for z in views]
         self.combined = logistic(Dense(self._calibrated(*views)), target, one, 1e-3, 300)
 
+    def _text_view(self, rows: list[np.ndarray], learned: dict[int, float]) -> np.ndarray:
+        target = np.array(list(learned.values()))
+        every = Sparse(rows, len(self.words))
+        n, good, share = every.summed(np.ones(len(rows))), every.summed(target), target.mean()
+        apart = np.abs(good - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1e-9))
+        used = np.flatnonzero((apart >= SIGNIFICANT) & (n >= MIN_DOCUMENTS))
+        at = np.full(len(self.words), -1)
+        at[used] = np.arange(len(used))
+        few = self._view(Sparse([r[r >= 0] for r in (at[row] for row in rows)], len(used)), learned, 1e-4)
+        weights = np.zeros(len(self.words) + 1)
+        weights[used], weights[-1] = few[:-1], few[-1]
+        return weights
+
     @staticmethod
     def _view(x, learned: dict[int, float], decay: float) -> np.ndarray:
         target = np.array(list(learned.values()))
@@ -245,9 +271,15 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
         "doc_id", "text", "source", "lang", "good")
     unknown = _chosen(texts, pool, "pool").join(marks.select("doc_id"), "doc_id", "left_anti")
     unknown = unknown.select("doc_id", "text", "source", "lang", F.lit(None).cast("int").alias("good"))
-    rows = known.unionByName(unknown).mapInArrow(
+    table = known.unionByName(unknown).mapInArrow(
         _features, "doc_id bigint, words array<string>, shape array<double>, source string, "
-                   "lang string, good int").toArrow().to_pylist()
+                   "lang string, good int").toArrow()
+    rows, once = [], {}
+    for batch in table.to_batches(max_chunksize=256):
+        for row in batch.to_pylist():
+            # Each distinct word is held once.
+            row["words"] = [once.setdefault(w, w) for w in row["words"]]
+            rows.append(row)
     rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["words"], repr(r["good"])))
     return Model(rows)
 

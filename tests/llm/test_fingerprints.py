@@ -27,17 +27,21 @@ def in_order(rows):
     return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
 
 
+def in_report(r):
+    return r[0] is None, r[0] or 0, r[1], r[2]
+
+
 def check(docs, rows):
     out = sorted(map(tuple, fp.compare_neighbours(docs).collect()),
-                 key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+                 key=in_report)
     expected = []
-    ordered = in_order(rows)
+    ordered = in_order([r[:2] for r in rows])
     for k, (doc_id, text, *_) in enumerate(ordered):
         text, following = text or "", ordered[(k + 1) % len(ordered)][1] or ""
         half = len(text) // 2
         changed = text[:len(text) - half] + following[:half]
         expected.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), text, changed, following))
-    expected.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+    expected.sort(key=in_report)
     marks = {}
     assert len(out) == len(expected)
     for got, (doc_id, n, digest, text, changed, following) in zip(out, expected):

@@ -6,7 +6,7 @@ from loglathe.llm import quality
 from tests.llm import data
 
 
-def corpus(spark, n=400):
+def corpus(spark, n=2000):
     rng = random.Random(6)
     rows, labels = [], []
     for i in range(n):
