@@ -63,7 +63,7 @@ def test_views_teach_each_other():
         return {"words": words, "shape": [float(good)] * 3, "source": "a", "lang": "en",
                 "good": good if labelled else None}
 
-    rows = [row(i % 2, [f"rare{i}"], True) for i in range(40)]
+    rows = [row(i % 2, [f"rare{i}"], True) for i in range(120)]
     rows += [row(i % 2, ["sun" if i % 2 else "rain", rng.choice("xyz")], False) for i in range(200)]
     model = quality.Model(rows)
     assert model.text[model.words["sun"]] > 0.2 > -0.2 > model.text[model.words["rain"]]
