@@ -27,7 +27,8 @@ LINES_SCHEMA = T.StructType([
 ])
 
 # The five contract columns, then the physical columns the engine adds: a typed
-# ingestion time, and the arrival position used by template mining.
+# ingestion time, the arrival position used by template mining, and a hash of the line's
+# content and place, which is the same whenever the line is ingested again.
 RAW_EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType(), False),
     T.StructField("raw_text", T.StringType(), False),
@@ -37,6 +38,7 @@ RAW_EVENT_SCHEMA = T.StructType([
     T.StructField("ingested_ts", T.TimestampType()),
     T.StructField("line_no", T.LongType()),
     T.StructField("seq", T.LongType()),
+    T.StructField("content_id", T.StringType()),
 ])
 RAW_EVENT_COLUMNS = [
     "event_id", "raw_text", "source_name", "source_format_hint", "ingested_at",

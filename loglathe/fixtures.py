@@ -17,6 +17,7 @@ LOG_LINES_SQL = (Path(__file__).parent / "fixtures.sql").read_text()
 
 ASSUMED_YEAR = 2024
 CLOCK = "2024-02-01T00:00:00Z"
+RUN = "fixture"
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -49,8 +50,8 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"),
                   "doc_id")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "raw_text"))
-    # No document has as many lines as the factor.
-    seq = F.col("doc_id") * 1_000_000 + F.col("i")
+    # A string has fewer than 2 ** 31 bytes, so a document has fewer lines than the factor.
+    seq = F.col("doc_id") * F.lit(1 << 31) + F.col("i")
     return clean_lines(lines.select(seq.alias("seq"), "raw_text"))
 
 
@@ -66,6 +67,6 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RAW_TABLES:
         path = scratch_path(spark, "raw")
-        write_raw(to_raw_events(clean_lines(log_lines(spark, sf_dir)), CLOCK), path)
+        write_raw(to_raw_events(clean_lines(log_lines(spark, sf_dir)), CLOCK, RUN), path)
         _RAW_TABLES[key] = path
     return read_raw(spark, _RAW_TABLES[key])

@@ -44,20 +44,26 @@ class NormalizeOptions:
             raise ValueError(f"mode must be one of {templates.MODES}: {self.mode}")
 
 
-def to_raw_events(lines: DataFrame, ingested_at: str | None = None) -> DataFrame:
+def to_raw_events(lines: DataFrame, ingested_at: str | None = None,
+                  run: str | None = None) -> DataFrame:
     """Give every line its identity and ingestion time.
 
-    The id is a content hash: a random one would change when a lost task is redone
-    and break the link from normalised events.
+    ``content_id`` hashes the place of a line (path, or else source, and number) and its
+    text. ``event_id`` also names the run, so a line that is ingested twice is two events.
+    Both are hashes: random ids would change when a lost task is redone and break the
+    link from normalised events.
     """
+    place = "source_path" if "source_path" in lines.columns else "source_name"
+    lines = lines.withColumn("content_id", sha256_of(F.col(place), F.col("line_no"), F.col("raw_text")))
+    event_id = F.col("content_id") if run is None else sha256_of(F.lit(run), F.col("content_id"))
     stamp = F.lit(ingested_at or utc_now())
     return lines.select(
-        sha256_of(F.col("source_name"), F.col("line_no"), F.col("raw_text")).alias("event_id"),
+        event_id.alias("event_id"),
         "raw_text", "source_name",
         F.lit(None).cast("string").alias("source_format_hint"),
         stamp.alias("ingested_at"),
         F.try_to_timestamp(stamp).alias("ingested_ts"),
-        "line_no", "seq",
+        "line_no", "seq", "content_id",
     )
 
 

@@ -27,6 +27,11 @@ class EventStore:
     def raw_path(self) -> str:
         return f"{self.root}/raw"
 
+    @property
+    def stream_raw_path(self) -> str:
+        """Raw events of the stream. Its sink keeps a log of files, which hides all others."""
+        return f"{self.root}/raw_stream"
+
     @property
     def outcome_path(self) -> str:
         return f"{self.root}/outcomes"
@@ -36,7 +41,11 @@ class EventStore:
         return f"{self.root}/templates"
 
     def raw(self, run: str | None = None) -> DataFrame:
-        return tables.read_raw(self.spark, self.raw_path, run)
+        """Raw events of one batch run, or of all runs and the stream."""
+        batch = tables.read_raw(self.spark, self.raw_path, run)
+        if run is not None:
+            return batch
+        return batch.unionByName(tables.read_raw(self.spark, self.stream_raw_path))
 
     def outcomes(self, run: str | None = None) -> DataFrame:
         return tables.read_outcomes(self.spark, self.outcome_path, run)
@@ -55,15 +64,15 @@ def ingest_lines(store: EventStore, lines: DataFrame, options: NormalizeOptions
 
     The raw table is complete before any line is parsed, and parsing reads it back
     from there. ``prior_run`` carries on with the templates that run had learned.
-    ``dedup`` skips lines whose identity is stored already; otherwise a file that is
-    ingested twice is stored twice.
+    ``dedup`` skips lines stored already: same path, number and text. Otherwise a file that
+    is ingested twice is stored twice, as events of their own.
     """
     run = run or uuid.uuid4().hex
     clock = ingested_at or utc_now()
     options = options or NormalizeOptions()
     options = replace(options, normalized_at=options.normalized_at or clock)
 
-    raw = to_raw_events(lines, clock)
+    raw = to_raw_events(lines, clock, run)
     if dedup:
         raw = tables.new_only(raw, store.raw())
     tables.write_raw(raw, store.raw_path, run)

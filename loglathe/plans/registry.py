@@ -55,7 +55,7 @@ def _store(spark: SparkSession, sf_dir: str) -> batch.EventStore:
     if key not in _STORES:
         store = batch.EventStore(spark, scratch_path(spark, "store"))
         lines = files.clean_lines(fixtures.log_lines(spark, sf_dir))
-        batch.ingest_lines(store, lines, OPTIONS, ingested_at=fixtures.CLOCK)
+        batch.ingest_lines(store, lines, OPTIONS, fixtures.RUN, ingested_at=fixtures.CLOCK)
         _STORES[key] = store
     return _STORES[key]
 
@@ -349,7 +349,7 @@ def event_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def raw_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queries.raw_by_text(_raw(spark, sf_dir), "CEF:0|OnlyVendor|MissingTheRest")
+    return queries.raw_by_text(_raw(spark, sf_dir), "CEF:0|Kestrel|cut short")
 
 
 @query

@@ -59,6 +59,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def materialize(df, label: str):
+    """Write an intermediate to the shared folder and read it back.
+
+    Whatever runs later sees the same rows, in the same partitions' order, and evaluates
+    nothing of ``df`` again.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Materialise a small intermediate on reliable storage."""
     shared_dir(df.sparkSession)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loglathe.contracts import LINES_SCHEMA
 from loglathe.functions.text import strip
 from loglathe.operators.skew import fits_broadcast
-from loglathe.session import cut_lineage
+from loglathe.session import cut_lineage, materialize
 
 # One entry per file split: some hundred thousand at 100 TB.
 _SPLITS_MAX_ROWS = 2_000_000
@@ -34,7 +34,9 @@ def in_file_order(df: DataFrame, key: list[str]) -> DataFrame:
     is. Sources follow each other in name order, and so do the files of a source.
     """
     source, file, block = key
-    df = df.withColumn("_row", F.monotonically_increasing_id())
+    # Split boundaries follow the parallelism of the moment. Stored, each row keeps the split
+    # and the place it was read at, however often the lines are evaluated later.
+    df = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     splits = df.groupBy(*key).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     earlier = W.partitionBy(source).orderBy(file, block).rowsBetween(
         W.unboundedPreceding, -1)
@@ -59,11 +61,13 @@ def _numbered(text: DataFrame, source: Column) -> DataFrame:
     lines = text.select(
         source.alias("source_name"),
         F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         # Bytes that are not UTF-8 become U+FFFD and do not stop the read.
         F.make_valid_utf8("value").alias("raw_text"),
     )
-    return in_file_order(clean_lines(lines), _SPLIT_KEY).select(LINES_SCHEMA.fieldNames())
+    return in_file_order(clean_lines(lines), _SPLIT_KEY).select(
+        *LINES_SCHEMA.fieldNames(), "source_path")
 
 
 def _or_empty(spark: SparkSession, read: Callable[[], DataFrame]) -> DataFrame:
@@ -78,7 +82,8 @@ def _or_empty(spark: SparkSession, read: Callable[[], DataFrame]) -> DataFrame:
 def scan_logs(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
     """All non-blank lines of the matching files right below a folder.
 
-    The source of a line is its file name. A missing or empty folder has no lines.
+    The source of a line is its file name; ``source_path`` is the whole path. A missing or
+    empty folder has no lines.
     """
     return _or_empty(spark, lambda: _numbered(
         spark.read.option("pathGlobFilter", glob).text(f"{path.rstrip('/')}/{glob}"),
@@ -89,7 +94,7 @@ def scan_chunks(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFram
     """All non-blank lines of landed chunks (see ``land_lines``), sources from folders."""
     return _or_empty(spark, lambda: _numbered(
         spark.read.option("pathGlobFilter", glob).text(path),
-        F.col("source_name").cast("string")))
+        F.col("source_name").cast("string"))).drop("source_path")
 
 
 def read_log_file(spark: SparkSession, path: str) -> DataFrame:

@@ -57,12 +57,12 @@ def write_raw(raw: DataFrame, path: str, run: str = "0") -> None:
 
 def read_raw(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
     target = path if run is None else f"{path}/run={run}"
-    return _read(spark, target, RAW_EVENT_SCHEMA)
+    return _read(spark, target, RAW_EVENT_SCHEMA).select(RAW_EVENT_SCHEMA.fieldNames())
 
 
 def new_only(raw: DataFrame, stored: DataFrame) -> DataFrame:
-    """Leave out raw events that were stored before (a file ingested twice)."""
-    return raw.join(stored.select("event_id"), "event_id", "left_anti")
+    """Leave out lines that were stored before (the same file ingested twice)."""
+    return raw.join(stored.select("content_id"), "content_id", "left_anti")
 
 
 # -- outcomes: normalised events and quarantine ------------------------------
@@ -105,11 +105,28 @@ def _state_schema(options: NormalizeOptions) -> T.StructType:
     return LEAF_STATE_SCHEMA
 
 
+def _template_folder(path: str, run: str, options: NormalizeOptions) -> str:
+    """What was learned depends on the mode and its settings, so the folder names them."""
+    kind = f"{options.mode}-depth{options.depth}"
+    if options.mode == MODE_SEQUENTIAL:
+        kind += f"-similarity{options.similarity}"
+    return f"{path}/run={run}/kind={kind}"
+
+
 def write_templates(state: DataFrame, path: str, run: str, options: NormalizeOptions) -> None:
     """One folder per run: what was learned up to and including that run."""
-    _write(state.select(_state_schema(options).fieldNames()), f"{path}/run={run}", [], [])
+    _write(state.select(_state_schema(options).fieldNames()),
+           _template_folder(path, run, options), [], [])
 
 
 def read_templates(spark: SparkSession, path: str, run: str,
                    options: NormalizeOptions) -> DataFrame:
-    return _read(spark, f"{path}/run={run}", _state_schema(options))
+    """What a run had learned; an unknown run, or one mined otherwise, is an error."""
+    folder = _template_folder(path, run, options)
+    try:
+        return spark.read.schema(_state_schema(options)).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise ValueError(
+                f"run {run!r} has stored no templates of this kind: {folder}") from error
+        raise

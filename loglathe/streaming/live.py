@@ -22,6 +22,9 @@ from loglathe.plans.batch import EventStore
 from loglathe.sources import tables, tail
 
 POLL_INTERVAL = "1.5 seconds"
+# Names the stream in event ids. The number of a streamed line is its byte position, so the
+# same line has other ids when a batch run stores it.
+STREAM_RUN = "stream"
 
 
 def tail_lines(spark: SparkSession, path: str, starting: str = "latest",
@@ -45,14 +48,14 @@ def start_raw_stream(lines: DataFrame, store: EventStore, checkpoint: str,
     The file sink keeps a log of committed files, so that a batch repeated after a
     failure is not seen twice by readers of the table.
     """
-    raw = to_raw_events(lines, ingested_at or "")
+    raw = to_raw_events(lines, ingested_at or "", STREAM_RUN)
     if ingested_at is None:
         now = F.current_timestamp()
         raw = raw.withColumns({
             "ingested_at": F.date_format(now, ISO_UTC), "ingested_ts": F.date_trunc("second", now)})
     return (
         raw.select(RAW_EVENT_SCHEMA.fieldNames()).writeStream.format("parquet")
-        .option("path", store.raw_path).option("checkpointLocation", checkpoint)
+        .option("path", store.stream_raw_path).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(processingTime=interval).start()
     )
 
@@ -89,7 +92,7 @@ def start_event_stream(store: EventStore, checkpoint: str,
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     writer = (
-        reader.parquet(store.raw_path).writeStream
+        reader.parquet(store.stream_raw_path).writeStream
         .foreachBatch(lambda raw, batch_id: process_batch(store, options, raw, batch_id))
         .option("checkpointLocation", checkpoint)
     )

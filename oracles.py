@@ -7,7 +7,7 @@ from loglathe.contracts import (
     JSON_ACTION_WORDS, JSON_KEYS, JSON_SEVERITY_WORDS, KNOWN_BAD_IPS, NORMALIZED_EVENT_COLUMNS,
     UNKNOWN_ACTION_WORDS,
 )
-from loglathe.fixtures import ASSUMED_YEAR, CLOCK, LOG_LINES_SQL
+from loglathe.fixtures import ASSUMED_YEAR, CLOCK, LOG_LINES_SQL, RUN
 
 _EVENT = ", ".join(NORMALIZED_EVENT_COLUMNS)
 _OUTCOME = f"detected_format, status, error_reason, {_EVENT}"
@@ -52,7 +52,8 @@ _RAW_CTE = f"""
 log_lines AS ({LOG_LINES_SQL}),
 lines AS (SELECT seq, source_name, trim(raw_text) AS raw_text FROM log_lines
   WHERE trim(raw_text) <> ''),
-raw AS (SELECT sha256(source_name || chr(31) || seq || chr(31) || raw_text) AS event_id,
+raw AS (SELECT sha256('{RUN}' || chr(31) ||
+      sha256(source_name || chr(31) || seq || chr(31) || raw_text)) AS event_id,
     raw_text, source_name, CAST(NULL AS VARCHAR) AS source_format_hint,
     '{CLOCK}' AS ingested_at, seq FROM lines),
 det AS (SELECT *, CASE
@@ -319,7 +320,7 @@ ORACLES: dict[str, str] = {
         FROM runs GROUP BY 1, 2""",
     "template_table_text": r"""WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS parts
           FROM documents),
-        txt AS (SELECT doc_id * 1000000 + generate_subscripts(parts, 1) - 1 AS seq,
+        txt AS (SELECT doc_id * 2147483648 + generate_subscripts(parts, 1) - 1 AS seq,
           regexp_replace(replace(replace(unnest(parts), '|', ' '), '=', ' '),
             '[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+',
             ' ', 'g') AS spaced, trim(unnest(parts), chr(32) || chr(9) || chr(13)) AS line FROM docs),
@@ -398,7 +399,7 @@ ORACLES: dict[str, str] = {
         FROM events_out JOIN raw ON event_id = raw_event_id
         WHERE normalized_id = (SELECT min(normalized_id) FROM events_out)""",
     "raw_by_text": f"""WITH {_RAW_CTE} SELECT event_id, raw_text, source_name FROM raw
-        WHERE raw_text = 'CEF:0|OnlyVendor|MissingTheRest'""",
+        WHERE raw_text = 'CEF:0|Kestrel|cut short'""",
     "ist_display": f"""{_ALL} SELECT normalized_id, timestamp, {_ist("timestamp")} AS timestamp_ist
         FROM events_out""",
     # streaming
