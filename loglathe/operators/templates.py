@@ -87,8 +87,12 @@ def mine_leaves(lines: DataFrame, prior: DataFrame | None = None) -> tuple[DataF
     whether that table is small enough to broadcast. ``prior`` is leaf state from
     earlier lines; its templates come first.
     """
-    firsts = lines.groupBy("leaf").agg(
-        F.min_by("tokens", "seq").alias("first_tokens"), F.count("*").alias("n_lines"))
+    # Only numbers are aggregated; the tokens of the few first lines are fetched by them.
+    starts = cut_lineage(lines.groupBy("leaf").agg(
+        F.min("seq").alias("seq"), F.count("*").alias("n_lines")))
+    side = F.broadcast(starts) if fits_broadcast(starts) else starts
+    firsts = lines.select("leaf", "seq", "tokens").join(side, ["leaf", "seq"]).dropDuplicates(
+        ["leaf"]).select("leaf", F.col("tokens").alias("first_tokens"), "n_lines")
     if prior is None:
         firsts = firsts.withColumn("broken", F.lit(None).cast("array<boolean>"))
     else:
@@ -103,7 +107,9 @@ def mine_leaves(lines: DataFrame, prior: DataFrame | None = None) -> tuple[DataF
     small = fits_broadcast(firsts)
 
     known = firsts.select("leaf", F.col("first_tokens").alias("first"))
-    pairs = attach_by_key(lines, known, "leaf", small).select(
+    # Lines that equal the first of their leaf break nothing and are not taken apart.
+    pairs = attach_by_key(lines, known, "leaf", small).filter(
+        F.col("tokens") != F.col("first")).select(
         "leaf", "seq", F.posexplode(F.arrays_zip("tokens", "first")).alias("pos", "pair"))
     breaks = (
         pairs.filter(F.col("pair.tokens") != F.col("pair.first"))
@@ -117,7 +123,9 @@ def mine_leaves(lines: DataFrame, prior: DataFrame | None = None) -> tuple[DataF
         .otherwise(F.try_element_at("found", p)))
     state = firsts.join(per_leaf, "leaf", "left").select(
         "leaf", "first_tokens", break_seq.alias("break_seq"), "n_lines")
-    return cut_lineage(state), small
+    state = cut_lineage(state)
+    # The state is wider than the first lines, so it is measured by itself.
+    return state, fits_broadcast(state)
 
 
 def leaf_state(mined: DataFrame) -> DataFrame:

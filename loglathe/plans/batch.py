@@ -42,10 +42,8 @@ class EventStore:
 
     def raw(self, run: str | None = None) -> DataFrame:
         """Raw events of one batch run, or of all runs and the stream."""
-        batch = tables.read_raw(self.spark, self.raw_path, run)
-        if run is not None:
-            return batch
-        return batch.unionByName(tables.read_raw(self.spark, self.stream_raw_path))
+        return tables.read_raw(self.spark, self.raw_path, run,
+                               self.stream_raw_path if run is None else None)
 
     def outcomes(self, run: str | None = None) -> DataFrame:
         return tables.read_outcomes(self.spark, self.outcome_path, run)

@@ -385,6 +385,38 @@ def tail_new_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(LINES_SCHEMA).parquet(out).select("raw_text")
 
 
+@query
+def linked_raw_reingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw row of every event in a store that took the same lines in twice."""
+    store = batch.EventStore(spark, scratch_path(spark, "twice"))
+    lines = files.clean_lines(fixtures.log_lines(spark, sf_dir))
+    for run in ("one", "two"):
+        batch.ingest_lines(store, lines, OPTIONS, run, ingested_at=fixtures.CLOCK)
+    return queries.linked_raw(store.events(), store.raw())
+
+
+@query
+def stream_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text and format of all events of a store that a batch run and a stream share."""
+    store = batch.EventStore(spark, scratch_path(spark, "shared"))
+    lines = fixtures.log_lines(spark, sf_dir)
+    batch.ingest_lines(store, files.clean_lines(lines.filter("seq % 2 = 0")), OPTIONS, fixtures.RUN,
+                       ingested_at=fixtures.CLOCK)
+    folder = scratch_path(spark, "tailed")
+    _append_files(lines.filter("seq % 2 = 1"), folder)
+    first = live.start_raw_stream(
+        live.tail_lines(spark, folder, "earliest", "*.txt"), store, scratch_path(spark, "cp"),
+        interval="0 seconds", ingested_at=fixtures.CLOCK)
+    first.processAllAvailable()
+    first.stop()
+    second = live.start_event_stream(
+        store, scratch_path(spark, "cp"), OPTIONS, available_now=True)
+    second.awaitTermination()
+    linked = queries.linked_raw(store.events(), store.raw())
+    return linked.join(store.events().select("normalized_id", "source_format"), "normalized_id").select(
+        "raw_text", "source_format")
+
+
 @query
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events that the two streaming queries make of the same lines."""

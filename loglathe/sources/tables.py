@@ -8,6 +8,8 @@ secondary indexes.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,25 +41,36 @@ def _write(df: DataFrame, path: str, bloom: list[str], partition_by: list[str])
     writer.parquet(path)
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table, or an empty one where nothing was written yet."""
+def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+            return None
         raise
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table, or an empty one where nothing was written yet."""
+    found = _existing(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
 # -- raw events ------------------------------------------------------------
 
 def write_raw(raw: DataFrame, path: str, run: str = "0") -> None:
     _write(raw.select(RAW_EVENT_SCHEMA.fieldNames()), f"{path}/run={run}", RAW_BLOOM, [])
 
 
-def read_raw(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
-    target = path if run is None else f"{path}/run={run}"
-    return _read(spark, target, RAW_EVENT_SCHEMA).select(RAW_EVENT_SCHEMA.fieldNames())
+def read_raw(spark: SparkSession, path: str, run: str | None = None,
+             stream_path: str | None = None) -> DataFrame:
+    """One run, or all runs and what a stream has stored in a folder of its own."""
+    targets = [path if run is None else f"{path}/run={run}", *filter(None, [stream_path])]
+    found = [table.select(RAW_EVENT_SCHEMA.fieldNames()) for table in (
+        _existing(spark, target, RAW_EVENT_SCHEMA) for target in targets) if table is not None]
+    if not found:
+        return spark.createDataFrame([], RAW_EVENT_SCHEMA)
+    return reduce(DataFrame.unionByName, found)
 
 
 def new_only(raw: DataFrame, stored: DataFrame) -> DataFrame:
@@ -123,10 +136,7 @@ def read_templates(spark: SparkSession, path: str, run: str,
                    options: NormalizeOptions) -> DataFrame:
     """What a run had learned; an unknown run, or one mined otherwise, is an error."""
     folder = _template_folder(path, run, options)
-    try:
-        return spark.read.schema(_state_schema(options)).parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise ValueError(
-                f"run {run!r} has stored no templates of this kind: {folder}") from error
-        raise
+    found = _existing(spark, folder, _state_schema(options))
+    if found is None:
+        raise ValueError(f"run {run!r} has stored no templates of this kind: {folder}")
+    return found

@@ -403,6 +403,14 @@ ORACLES: dict[str, str] = {
     "ist_display": f"""{_ALL} SELECT normalized_id, timestamp, {_ist("timestamp")} AS timestamp_ist
         FROM events_out""",
     # streaming
+    "linked_raw_reingested": f"""{_ALL}, ingests AS (SELECT unnest(['one', 'two']) AS run),
+        again AS (SELECT raw.*, sha256(run || chr(31) || sha256(
+            source_name || chr(31) || raw.seq || chr(31) || raw_text)) AS own_id FROM raw, ingests)
+        SELECT sha256(own_id || 'n') AS normalized_id, own_id AS event_id, raw_text, source_name,
+            source_format_hint, ingested_at
+        FROM again JOIN events_out ON raw_event_id = event_id""",
+    "stream_after_batch": f"""{_ALL} SELECT raw_text, source_format
+        FROM events_out JOIN raw ON event_id = raw_event_id""",
     "tail_new_lines": f"WITH {_RAW_CTE} SELECT raw_text FROM lines",
     "stream_events": f"""{_ALL} SELECT raw_text, {", ".join(
             c for c in NORMALIZED_EVENT_COLUMNS if c not in ("normalized_id", "raw_event_id"))}
