@@ -13,6 +13,12 @@ SEVERITIES = ["low", "medium", "high", "critical", "unknown"]
 PROTOCOLS = ["TCP", "UDP", "ICMP", "UNKNOWN"]
 CONFIDENCES = ["high", "low"]
 
+# The columns of events that take only these words.
+VOCABULARIES = {
+    "source_format": FORMATS, "action": ACTIONS, "severity": SEVERITIES, "protocol": PROTOCOLS,
+    "parser_confidence": CONFIDENCES,
+}
+
 STATUS_NORMALIZED = "normalized"
 STATUS_PARSE_ERROR = "parse_error"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglathe.contracts import RAW_EVENT_COLUMNS, STATUS_NORMALIZED, STATUS_PARSE_ERROR
+from loglathe.contracts import RAW_EVENT_COLUMNS, STATUS_NORMALIZED, STATUS_PARSE_ERROR, VOCABULARIES
 from loglathe.functions.clock import ist_display
 from loglathe.operators.detect import detect_format
 
@@ -131,6 +131,13 @@ def raw_without_event(raw: DataFrame, events: DataFrame) -> DataFrame:
     ).select("event_id", "source_name", "raw_text")
 
 
+def vocabulary_audit(events: DataFrame) -> DataFrame:
+    """For each column with a closed vocabulary, how many events hold another word or none."""
+    return events.agg(*[
+        F.count_if(F.col(name).isNull() | ~F.col(name).isin(words)).alias(f"n_bad_{name}")
+        for name, words in VOCABULARIES.items()])
+
+
 def traceability_audit(raw: DataFrame, outcome: DataFrame) -> DataFrame:
     """One row of counts; all but the first three must be zero.
 

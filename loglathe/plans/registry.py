@@ -283,6 +283,11 @@ def traceability_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queries.traceability_audit(store.raw(), store.outcomes())
 
 
+@query
+def vocabulary_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queries.vocabulary_audit(_store(spark, sf_dir).events())
+
+
 @query
 def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.duplicate_ids(_store(spark, sf_dir).events(), "normalized_id")

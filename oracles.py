@@ -366,6 +366,17 @@ ORACLES: dict[str, str] = {
           AS n_orphans,
         (SELECT count(*) FROM det JOIN outcome ON event_id = raw_event_id
           WHERE fmt <> source_format) AS n_wrong_format""",
+    "vocabulary_audit": f"""{_ALL} SELECT
+        count(*) FILTER (source_format IS NULL OR source_format NOT IN
+            ('syslog', 'json', 'cef', 'unknown')) AS n_bad_source_format,
+        count(*) FILTER (action IS NULL OR action NOT IN
+            ('allow', 'deny', 'alert', 'drop', 'unknown')) AS n_bad_action,
+        count(*) FILTER (severity IS NULL OR severity NOT IN
+            ('low', 'medium', 'high', 'critical', 'unknown')) AS n_bad_severity,
+        count(*) FILTER (protocol IS NULL OR protocol NOT IN
+            ('TCP', 'UDP', 'ICMP', 'UNKNOWN')) AS n_bad_protocol,
+        count(*) FILTER (parser_confidence IS NULL OR parser_confidence NOT IN
+            ('high', 'low')) AS n_bad_parser_confidence FROM events_out""",
     "duplicate_ids": f"""{_ALL} SELECT normalized_id, count(*) AS n FROM events_out
         GROUP BY 1 HAVING count(*) > 1""",
     # reads
