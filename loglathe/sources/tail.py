@@ -15,6 +15,7 @@ its former length, and then goes on from there.
 from __future__ import annotations
 
 import fnmatch
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,7 @@ from loglathe.contracts import LINES_SCHEMA
 from loglathe.functions.text import WHITESPACE
 
 FORMAT = "log_tail"
+_LOG = logging.getLogger(__name__)
 
 _CHUNK_BYTES = 64 * 1024 * 1024
 _LOOK_BACK = 64 * 1024
@@ -92,6 +94,8 @@ class TailReader(DataSourceStreamReader):
         if self.starting not in ("latest", "earliest"):
             raise ValueError(f"startingOffsets must be latest or earliest: {self.starting}")
         self.known: dict[str, int] = {}
+        # Files warned about, with the length they had then.
+        self.shrunk: dict[str, int] = {}
 
     def _open_folder(self):
         if self.path.startswith("/"):
@@ -108,7 +112,12 @@ class TailReader(DataSourceStreamReader):
                 continue
             if info.size <= before:
                 self.known.setdefault(name, before)
+                if info.size < before and self.shrunk.get(name) != info.size:
+                    self.shrunk[name] = info.size
+                    _LOG.warning("%s shrank from %d complete bytes to %d; nothing is read until it "
+                                 "outgrows that length", name, before, info.size)
                 continue
+            self.shrunk.pop(name, None)
             try:
                 with filesystem.open_input_file(info.path) as stream:
                     self.known[name] = max(before, last_line_end(stream, info.size))

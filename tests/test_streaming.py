@@ -43,7 +43,7 @@ def test_ranges_cover_every_line_once():
     assert last_line_end(io.BytesIO(b"none"), 4) == 0
 
 
-def test_only_new_complete_lines(folder):
+def test_only_new_complete_lines(folder, caplog):
     write(folder, "a.log", "old 1\nold 2\n")
     write(folder, "skip.txt", "other\n")
     reader = TailReader({"path": folder})
@@ -59,6 +59,8 @@ def test_only_new_complete_lines(folder):
     # Shrunk: nothing until it is longer than before.
     write(folder, "a.log", "tiny\n")
     assert polled(reader, offset) == ([], offset)
+    assert polled(reader, offset) == ([], offset)
+    assert [r.getMessage().split(" ")[:2] for r in caplog.records] == [["a.log", "shrank"]]
     write(folder, "a.log", "tiny\n" + "x" * 60 + "\nbehind\n")
     assert "behind" in polled(reader, offset)[0]
 
