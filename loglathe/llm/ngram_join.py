@@ -29,9 +29,11 @@ from loglathe.llm.common import discard, fresh, stored, text_or_empty
 from loglathe.llm.components import connected_components
 from loglathe.operators.skew import fits_broadcast
 
-# Documents whose keys say which contents are frequent. This orders the keys and cannot
-# change a result. FREQUENT bounds what is sent to all tasks: 16 bytes each.
-SAMPLE = 10_000
+# Documents whose keys say which contents are frequent: a share of all, and so many at least.
+# This orders the keys and cannot change a result. FREQUENT bounds what is sent to all
+# tasks: 16 bytes each.
+SAMPLE_SHARE = 0.15
+SAMPLE_LEAST = 10_000
 FREQUENT = 500_000
 
 _ROWS = pa.schema([
@@ -82,13 +84,12 @@ def _described(order: parity.Order | None, fine_bands: tuple[int, ...] = ()):
     return describe
 
 
-def frequency_order(docs: DataFrame, sample: int = SAMPLE) -> parity.Order:
+def frequency_order(docs: DataFrame) -> parity.Order:
     """Which contents of blocks occur three times or more in a sample of documents."""
     rows = docs.count()
-    part = docs
-    if rows > sample:
-        part = docs.filter(F.pmod(F.xxhash64(F.lit("order"), "doc_id"), F.lit(1 << 20))
-                           < int((1 << 20) * sample / rows))
+    share = max(SAMPLE_SHARE, SAMPLE_LEAST / max(rows, 1))
+    part = docs.filter(F.pmod(F.xxhash64(F.lit("order"), "doc_id"), F.lit(1 << 20))
+                       < int((1 << 20) * share))
     keys = part.mapInArrow(_described(None), _DDL).filter("n_shingles > 0").select(
         "class", F.explode("keys").alias("key")).distinct()
     seen = keys.groupBy("key").count().filter("count >= 3").orderBy(
