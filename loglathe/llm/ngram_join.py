@@ -291,8 +291,9 @@ def components(docs: DataFrame) -> DataFrame:
         named = table.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn(
             "component", F.coalesce("component", "class"))
     filled = named.filter("n_shingles > 0")
-    least = filled.groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("least"))
+    # Stored apart, so that the join may split the rows of a large component over tasks.
+    least = stored(filled.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("least")), "least")
     with_words = filled.join(least, "component").select(
         "doc_id", "text_hash", "n_shingles", F.col("least.doc_id").alias("component_id"),
         (F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
