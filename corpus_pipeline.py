@@ -31,8 +31,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
-    return bpe.encode(docs, VOCABULARY)
+    """Token ids of every document, decoded again to verify that they give its text."""
+    return bpe.encode(docs, VOCABULARY, verify=True)
 
 
 STAGES = [

@@ -221,9 +221,19 @@ def _ids(encoder: Encoder, text: str) -> tuple:
     return (np.array(encoder.encode(text), np.int32),)
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id`` and the token ids of its whole text."""
-    return map_texts(docs, path, _ids, "ids array<int>", ["ids"])
+def _ids_that_decode(encoder: Encoder, text: str) -> tuple:
+    ids = encoder.encode(text)
+    if encoder.decode(ids) != text:
+        raise ValueError(f"token ids do not decode to their text, which begins {text[:80]!r}")
+    return (np.array(ids, np.int32),)
+
+
+def encode(docs: DataFrame, path: str, verify: bool = False) -> DataFrame:
+    """``doc_id`` and the token ids of its whole text.
+
+    With ``verify`` all ids are decoded again, and a text that does not come back is an error.
+    """
+    return map_texts(docs, path, _ids_that_decode if verify else _ids, "ids array<int>", ["ids"])
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:

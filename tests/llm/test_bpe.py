@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from loglathe.llm import bpe
 from tests.llm import data
 
@@ -73,3 +74,21 @@ def test_digests_and_round_trip(spark, library):
 def test_empty_table(spark):
     assert bpe.digests(data.table(spark, []), PATH).count() == 0
     assert bpe.encode(data.table(spark, []), PATH).count() == 0
+
+
+def test_the_last_stage_decodes_every_text(spark, monkeypatch):
+    docs = data.table(spark)
+    texts = sorted((r["doc_id"] or 0, r["text"]) for r in bpe.decode(
+        corpus_pipeline.to_tokens(spark, docs, ""), PATH).collect())
+    assert texts == sorted((r[0] or 0, r[1] or "") for r in data.documents())
+    verified = bpe._ids_that_decode
+
+    def broken(encoder, text):
+        class Lossy:
+            encode = staticmethod(encoder.encode)
+            decode = staticmethod(lambda ids: encoder.decode(ids[:-1]))
+        return verified(Lossy, text)
+
+    monkeypatch.setattr(bpe, "_ids_that_decode", broken)
+    with pytest.raises(Exception, match="do not decode to their text"):
+        corpus_pipeline.to_tokens(spark, docs, "").collect()
