@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loglathe.llm import (
-    bpe, exact_dedup, fingerprints, katz, mixing, ngram_join, pii, quality, substring, url_filter,
+    bpe, exact_dedup, fingerprints, katz, middle, mixing, ngram_join, pii, quality, substring,
+    url_filter,
 )
 from loglathe.session import configure_session
 
@@ -86,6 +87,11 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(_documents(spark, sf_dir, "text"))
 
 
+@query
+def op13_fill_in_middle(spark, sf_dir):
+    return middle.digests(_documents(spark, sf_dir, "text"))
+
+
 ORACLES["op1_mix"] = r"""
 WITH sized AS (
   SELECT doc_id, source, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS place,
@@ -126,3 +132,29 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
        row_number() OVER best = 1 AS kept, text_sha256
 FROM d
 WINDOW best AS (PARTITION BY text_sha256 ORDER BY size DESC, doc_id NULLS LAST)"""
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines
+  FROM documents),
+numbers AS (
+  SELECT *, len(lines) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[25:32])::BIGINT AS h4
+  FROM hashed),
+parts AS (
+  SELECT *, array_to_string(lines[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS prefix,
+         array_to_string(lines[least(h1 % (n + 1), h2 % (n + 1)) + 1
+                               :greatest(h1 % (n + 1), h2 % (n + 1))], '') AS middle,
+         array_to_string(lines[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS suffix,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts"""
