@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loglathe.llm import (
     bpe, exact_dedup, fingerprints, katz, middle, mixing, ngram_join, pii, quality, substring,
-    url_filter,
+    toxicity, url_filter,
 )
 from loglathe.session import configure_session
 
@@ -87,6 +88,14 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(_documents(spark, sf_dir, "text"))
 
 
+@query
+def op12_toxicity(spark, sf_dir):
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    found = toxicity.judge(_documents(spark, sf_dir, "text"),
+                           spark.read.parquet(f"{sf_dir}/labels.parquet"), learn_from=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op13_fill_in_middle(spark, sf_dir):
     return middle.digests(_documents(spark, sf_dir, "text"))
