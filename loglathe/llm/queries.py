@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglathe.llm import (
-    bpe, exact_dedup, fingerprints, katz, middle, mixing, ngram_join, pii, quality, substring,
-    toxicity, url_filter,
+    bpe, exact_dedup, fingerprints, katz, middle, mixing, negatives, ngram_join, pii, quality,
+    substring, toxicity, url_filter,
 )
 from loglathe.session import configure_session
 
@@ -88,6 +88,14 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(_documents(spark, sf_dir, "text"))
 
 
+@query
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        "vec_id", label.alias("label"), "embedding")
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op12_toxicity(spark, sf_dir):
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
@@ -167,3 +175,25 @@ SELECT doc_id, n::BIGINT AS n, form,
                         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
        sha256(text) AS restored_sha256
 FROM parts"""
+
+ORACLES["op11_hard_negatives"] = r"""
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT * FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.other AS positive_id,
+       (row_number() OVER best)::INTEGER AS rank,
+       n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW best AS (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other)
+QUALIFY row_number() OVER best <= 10"""
