@@ -21,6 +21,7 @@ from loglathe.operators.json_events import json_stages
 from loglathe.operators.skew import attach_by_key
 from loglathe.operators.stages import Stages, apply_stages, side_by_side
 from loglathe.operators.syslog import syslog_stages
+from loglathe.session import materialize
 
 
 @dataclass(frozen=True)
@@ -115,8 +116,9 @@ def mine_raw(raw: DataFrame, options: NormalizeOptions,
     """
     lines = unknown_lines(raw, options.depth).select("leaf", "seq", "tokens")
     if options.mode == templates.MODE_SEQUENTIAL:
-        return sequential.mine_sequential(lines, options.similarity, prior=prior)
-    return templates.mine_leaves(lines, prior)
+        return sequential.mine_sequential(lines, options.similarity, prior=prior), False
+    # Detection and tokenising run once; mining reads the stored tokens several times.
+    return templates.mine_leaves(materialize(lines, "unknown-lines"), prior)
 
 
 def learned_state(mined: DataFrame, options: NormalizeOptions) -> DataFrame:
@@ -137,8 +139,7 @@ def with_guess(df: DataFrame, mined: tuple[DataFrame, bool],
     state, small = mined
     here = F.col("leaf").isNotNull()
     if options.mode == templates.MODE_SEQUENTIAL:
-        df = attach_by_key(df, state, "leaf", small)
-        df = df.withColumn("_cluster", F.when(here, sequential.line_cluster(options.similarity)))
+        df = sequential.line_cluster(df, state, options.similarity)
         values = sequential.sequential_values(F.col("_cluster"))
     else:
         df = attach_by_key(df, state.select("leaf", "break_seq"), "leaf", small)

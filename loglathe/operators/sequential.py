@@ -4,76 +4,47 @@ Lines join the most similar template of their leaf if it reaches a similarity
 threshold, and start a new template otherwise; the positions where a line differs
 from its template become wildcards. The result depends on the order of the lines,
 yet lines that change nothing need no order. So each round walks in order through
-the next few lines of every leaf (a bounded number, whatever the leaf holds), and
+the next lines of every leaf that is still open (a bounded number, more in later rounds), and
 then looks in parallel for the first later line that would change a template. All
 lines before that one are settled. Rounds repeat from there until no line changes
 anything; no line is left out and no leaf is gathered in one task.
 
+The state has one row per template. A walk is handed only the templates that one of its lines
+can be similar to, found through the index of ``similar``, and keeps such an index itself; so a leaf
+of thousands of templates costs a line no more than its candidates.
+
 A template is kept as its first line and, per position, the arrival position from
 which it is a wildcard, so the state at any line can be told afterwards.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loglathe.contracts import WILDCARD
+from loglathe.operators.similar import (
+    BEFORE_ALL, TEMPLATE_SCHEMA, LeafIndex, changes, needed_hits, template_text, with_template,
+)
 from loglathe.operators.skew import attach_by_key, fits_broadcast
 from loglathe.operators.templates import DEFAULT_SIMILARITY
-from loglathe.session import cut_lineage
+from loglathe.session import cut_lineage, materialize
 
-# Lines walked in order per leaf and round. Up to 1000, Spark takes the first lines
-# of a leaf on the map side already (a window group limit).
+# Lines walked in order per leaf: in the first round, and at most (a window group limit takes
+# the first lines of a leaf on the map side already). Each round walks GROWTH times more.
 CHUNK_LINES = 1000
+MAX_CHUNK_LINES = 32_000
+GROWTH = 4
 
-_CLUSTERS = "array<struct<born: bigint, tokens: array<string>, breaks: array<bigint>>>"
-CLUSTER_STATE_SCHEMA = f"leaf string, clusters {_CLUSTERS}"
-_STATE = f"leaf string, clusters {_CLUSTERS}, settled bigint"
-# Arrival position of what earlier runs have learned.
-BEFORE_ALL = -(2**62)
-
-
-def best_match(clusters: Column, token_array: Column, seq: Column, similarity: float) -> Column:
-    """The template a line joins, as it was just before that line; null if none.
-
-    The most similar one wins, then the one with more wildcards, then the oldest.
-    """
-    def score(cluster: Column, i: Column) -> Column:
-        def is_hit(same: Column, at: Column) -> Column:
-            return same & F.coalesce(at >= seq, F.lit(True))
-
-        same = F.zip_with(cluster["tokens"], token_array, lambda t, token: t == token)
-        hits = F.size(F.filter(F.zip_with(same, cluster["breaks"], is_hit), lambda hit: hit))
-        wild = F.size(F.filter(cluster["breaks"], lambda at: at < seq))
-        return F.struct(hits.alias("hits"), wild.alias("wild"), (-i).alias("age"),
-                        cluster.alias("cluster"))
-
-    scored = F.filter(F.transform(clusters, score), lambda s: s["cluster"]["born"] < seq)
-    best = F.array_max(scored)
-    length = F.size(token_array)
-    close = (length == 0) | (best["hits"] / F.greatest(length, F.lit(1)) >= similarity)
-    return F.when(close, best)
+_WALKED = f"{TEMPLATE_SCHEMA}, settled bigint"
+_KEY = ["leaf", "generation", "place"]
 
 
-def _changes(best: Column, token_array: Column, seq: Column) -> Column:
-    """Whether a line starts a template or wildcards a position of its template."""
-    cluster = best["cluster"]
-    differs = F.zip_with(cluster["tokens"], token_array, lambda t, token: t != token)
-    fresh = F.zip_with(differs, cluster["breaks"],
-                       lambda differ, at: differ & F.coalesce(at >= seq, F.lit(True)))
-    return best.isNull() | F.exists(fresh, lambda f: f)
-
-
-def line_cluster(similarity: float = DEFAULT_SIMILARITY) -> Column:
-    """The template a line belongs to: the one it joined, else the one it started."""
-    best = best_match(F.col("clusters"), F.col("tokens"), F.col("seq"), similarity)
-    started = F.filter("clusters", lambda cluster: cluster["born"] == F.col("seq"))
-    return F.coalesce(best["cluster"], F.get(started, F.lit(0)))
+def line_cluster(lines: DataFrame, templates: DataFrame,
+                 similarity: float = DEFAULT_SIMILARITY) -> DataFrame:
+    """Add ``_cluster``: the template a line joined, else the one it started."""
+    return with_template(lines, templates, similarity)
 
 
 def sequential_values(cluster: Column) -> Column:
@@ -85,116 +56,124 @@ def sequential_values(cluster: Column) -> Column:
 
 def sequential_template(cluster: Column) -> Column:
     """The template as text, as a line leaves it."""
-    return F.array_join(F.zip_with(
-        cluster["tokens"], cluster["breaks"],
-        lambda token, at: F.when(at <= F.col("seq"), WILDCARD).otherwise(token)), " ")
-
-
-def _walk(clusters: list[dict], lines: Iterator[tuple[int, list[str]]],
-          similarity: float) -> None:
-    """Let lines join or start templates one after the other, in place."""
-    for seq, token_list in lines:
-        best, best_rank = None, None
-        for cluster in clusters:
-            hits = sum(at is None and t == token for t, token, at in zip(
-                cluster["tokens"], token_list, cluster["breaks"]))
-            rank = (hits, sum(at is not None for at in cluster["breaks"]))
-            if best is None or rank > best_rank:
-                best, best_rank = cluster, rank
-        if best is None or (token_list and best_rank[0] / len(token_list) < similarity):
-            clusters.append({"born": seq, "tokens": token_list,
-                             "breaks": [None] * len(token_list)})
-            continue
-        for p, token in enumerate(token_list):
-            if best["breaks"][p] is None and best["tokens"][p] != token:
-                best["breaks"][p] = seq
+    return template_text(cluster, F.col("seq"))
 
 
 def _whole(value) -> int | None:
     return None if value is None or value != value else int(value)
 
 
-def _stepper(similarity: float):
-    def step(lines: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        if lines.empty:
-            return state[["leaf", "clusters", "settled"]]
-        lines = lines.sort_values("seq")
-        clusters = []
-        if not state.empty and state["clusters"].iloc[0] is not None:
-            clusters = [
-                {"born": int(c["born"]), "tokens": list(c["tokens"]),
-                 "breaks": [_whole(at) for at in c["breaks"]]}
-                for c in state["clusters"].iloc[0]
-            ]
-        _walk(clusters, ((int(s), list(t)) for s, t in zip(lines["seq"], lines["tokens"])),
-              similarity)
-        return pd.DataFrame({
-            "leaf": [lines["leaf"].iloc[0]], "clusters": [clusters],
-            "settled": [int(lines["seq"].iloc[-1])]})
+def _stepper(similarity: float, generation: int):
+    def step(lines: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        known = known.sort_values(["generation", "place"])
+        index = LeafIndex([
+            {"generation": int(g), "place": int(p), "born": int(b), "tokens": list(t),
+             "breaks": [_whole(at) for at in breaks]}
+            for g, p, b, t, breaks in zip(known["generation"], known["place"], known["born"],
+                                          known["tokens"], known["breaks"])], similarity)
+        touched, leaf, last = set(), None, None
+        for leaf, last, tokens in lines.sort_values("seq")[["leaf", "seq", "tokens"]].itertuples(index=False):
+            last, tokens = int(last), list(tokens)
+            number = index.best(tokens)
+            if number is None:
+                touched.add(len(index.templates))
+                index.add({"generation": generation, "place": last, "born": last, "tokens": tokens,
+                           "breaks": [None] * len(tokens)})
+            elif index.widen(number, tokens, last):
+                touched.add(number)
+        rows = [{"leaf": leaf, **index.templates[k], "settled": None} for k in sorted(touched)]
+        if last is not None:
+            rows.append({"leaf": leaf, "generation": None, "place": None, "born": None,
+                         "tokens": None, "breaks": None, "settled": last})
+        out = pd.DataFrame(rows, columns=["leaf", "generation", "place", "born", "tokens", "breaks",
+                                          "settled"])
+        return out.astype({"generation": "Int32", "place": "Int64", "born": "Int64", "settled": "Int64"})
 
     return step
 
 
+def _index_keys(rows: DataFrame, need: Column | None) -> DataFrame:
+    """Entries under which a template can be found, and under which a line looks."""
+    pairs = F.posexplode(F.concat(F.array(F.lit("")), F.col("tokens")))
+    out = rows.select(*rows.columns, pairs.alias("pos", "token"))
+    if need is None:
+        return out
+    # A line looks under position 0 only where any template will do.
+    return out.filter((F.col("pos") > 0) == (need > 0))
+
+
+def _candidates(head: DataFrame, state: DataFrame, similarity: float) -> DataFrame:
+    """The templates that some line of ``head`` may join.
+
+    Per line the positions whose tokens fewest templates have are looked up, as many as are sure
+    to hold a hit.
+    """
+    length = F.size("tokens")
+    lines = head.select("leaf", "tokens").distinct().withColumn("line", F.xxhash64("leaf", "tokens"))
+    entries = _index_keys(state.select(*_KEY, "tokens"), None).drop("tokens")
+    sizes = entries.groupBy("leaf", "pos", "token").agg(F.count("*").alias("n"))
+    looks = _index_keys(lines, needed_hits(length, similarity)).withColumn(
+        "most", F.when(F.col("pos") == 0, 1).otherwise(length - needed_hits(length, similarity) + 1))
+    looks = looks.drop("tokens").join(sizes, ["leaf", "pos", "token"], "left")
+    ranked = looks.groupBy("leaf", "line").agg(
+        F.first("most").alias("most"), F.array_sort(F.collect_list(
+            F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pos", "token"))).alias("all"))
+    wanted = ranked.select("leaf", F.explode(F.slice("all", 1, F.col("most"))).alias("k")).filter(
+        "k.n > 0").select("leaf", "k.pos", "k.token").distinct()
+    keys = entries.join(wanted, ["leaf", "pos", "token"]).select(*_KEY).distinct()
+    return state.join(keys, _KEY, "left_semi")
+
+
 def mine_sequential(lines: DataFrame, similarity: float = DEFAULT_SIMILARITY,
                     chunk_lines: int = CHUNK_LINES,
-                    prior: DataFrame | None = None) -> tuple[DataFrame, bool]:
-    """All templates of ``lines(leaf, seq, tokens)`` as ``(leaf, clusters)``.
+                    prior: DataFrame | None = None) -> DataFrame:
+    """All templates of ``lines(leaf, seq, tokens)``, a row each, on shared storage.
 
-    Returns the table, on reliable storage, and whether it is small enough to
-    broadcast. ``prior`` has the same form, from ``cluster_state``.
+    ``prior`` has the same form, from ``cluster_state``.
     """
     spark = lines.sparkSession
-    lines = lines.select("leaf", "seq", "tokens")
-    done: list[DataFrame] = []
-    if prior is None:
-        state = spark.createDataFrame([], _STATE)
-    else:
-        state = prior.withColumn("settled", F.lit(BEFORE_ALL))
-    pending = lines
+    lines = materialize(lines.select("leaf", "seq", "tokens"), "leaf-lines")
+    state = spark.createDataFrame([], TEMPLATE_SCHEMA) if prior is None else prior
+    generation = (state.agg(F.max("generation")).first()[0] or 0) + 1
+    pending, chunk, first = lines, chunk_lines, prior is None
     while True:
         rank = F.row_number().over(W.partitionBy("leaf").orderBy("seq"))
-        head = pending.withColumn("_rank", rank).filter(
-            F.col("_rank") <= chunk_lines).drop("_rank")
-        stepped = cut_lineage(head.groupBy("leaf").cogroup(state.groupBy("leaf")).applyInPandas(
-            _stepper(similarity), _STATE))
-        small = fits_broadcast(stepped)
-        ahead = attach_by_key(pending, stepped, "leaf", small).filter(
-            F.col("seq") > F.col("settled"))
-        best = best_match(F.col("clusters"), F.col("tokens"), F.col("seq"), similarity)
-        ahead = ahead.withColumn("_best", best)
-        next_change = ahead.filter(
-            _changes(F.col("_best"), F.col("tokens"), F.col("seq"))
-        ).groupBy("leaf").agg((F.min("seq") - 1).alias("next"))
-        checked = cut_lineage(stepped.join(next_change, "leaf", "left"))
-        open_leaves = checked.filter(F.col("next").isNotNull())
-        done.append(checked.filter(F.col("next").isNull()).select("leaf", "clusters"))
-        if open_leaves.isEmpty():
-            break
-        state = open_leaves.select("leaf", "clusters", F.col("next").alias("settled"))
-        ranges = state.select("leaf", F.col("settled").alias("_from"))
-        pending = attach_by_key(lines, ranges, "leaf", fits_broadcast(ranges)).filter(
-            F.col("seq") > F.col("_from")).drop("_from")
-    mined = done[0]
-    for part in done[1:]:
-        mined = mined.unionByName(part)
-    if len(done) > 1:
-        mined = cut_lineage(mined)
-    return mined, fits_broadcast(mined)
+        head = materialize(pending.withColumn("_rank", rank).filter(
+            F.col("_rank") <= chunk).drop("_rank"), "leaf-heads")
+        known = state if first else _candidates(head, state, similarity)
+        walked = materialize(head.groupBy("leaf").cogroup(known.groupBy("leaf")).applyInPandas(
+            _stepper(similarity, generation), _WALKED), "walked")
+        ends = walked.filter("settled IS NOT NULL").select("leaf", "settled")
+        changed = walked.filter("settled IS NULL").drop("settled")
+        state = materialize(
+            changed if first else state.join(changed, _KEY, "left_anti").unionByName(changed),
+            "templates")
+        first = False
+        ahead = attach_by_key(pending, ends, "leaf", fits_broadcast(ends)).filter(
+            F.col("seq") > F.col("settled")).select("leaf", "seq", "tokens")
+        # Lines alike meet the same templates, so the first of them stands for all.
+        ahead = materialize(ahead.groupBy("leaf", "tokens").agg(F.min("seq").alias("seq")), "ahead")
+        next_change = cut_lineage(with_template(ahead, state, similarity).filter(
+            changes(F.col("_cluster"), F.col("tokens"), F.col("seq"))
+        ).groupBy("leaf").agg(F.min("seq").alias("_next")))
+        if next_change.isEmpty():
+            return state
+        pending = attach_by_key(lines, next_change, "leaf", fits_broadcast(next_change)).filter(
+            F.col("seq") >= F.col("_next")).drop("_next")
+        chunk = min(chunk * GROWTH, max(chunk_lines, MAX_CHUNK_LINES))
 
 
 def cluster_state(mined: DataFrame) -> DataFrame:
     """What a later run needs to know: templates that precede all its lines."""
-    return mined.select("leaf", F.transform("clusters", lambda c: F.struct(
-        F.lit(BEFORE_ALL).alias("born"), c["tokens"].alias("tokens"),
-        F.transform(c["breaks"], lambda at: F.when(at.isNotNull(), F.lit(BEFORE_ALL)))
-        .alias("breaks"))).alias("clusters"))
+    return mined.select(
+        "leaf", "generation", "place", F.lit(BEFORE_ALL).alias("born"), "tokens",
+        F.transform("breaks", lambda at: F.when(at.isNotNull(), F.lit(BEFORE_ALL))).alias("breaks"))
 
 
 def cluster_templates(mined: DataFrame) -> DataFrame:
     """The learned templates, numbered within their leaf in order of appearance."""
-    numbered = mined.select("leaf", F.posexplode("clusters").alias("i", "cluster"))
-    template = F.zip_with(
-        F.col("cluster.tokens"), F.col("cluster.breaks"),
-        lambda token, at: F.when(at.isNotNull(), WILDCARD).otherwise(token))
-    return numbered.select(F.col("leaf").alias("leaf_key"), (F.col("i") + 1).alias("template_id"),
-                           template.alias("template"))
+    order = W.partitionBy("leaf").orderBy("generation", "place")
+    template = F.zip_with("tokens", "breaks", lambda token, at: F.when(
+        at.isNotNull(), F.lit("<*>")).otherwise(token))
+    return mined.select(F.col("leaf").alias("leaf_key"), F.row_number().over(order).alias("template_id"),
+                        template.alias("template"))

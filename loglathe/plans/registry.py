@@ -228,11 +228,9 @@ def template_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mine_templates_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
-    clusters, small = mine_raw(raw, SEQUENTIAL)
-    lines = attach_by_key(unknown_lines(raw), clusters, "leaf", small)
-    lines = lines.withColumn("cluster", sequential.line_cluster())
-    return lines.select(
-        "seq", "leaf", sequential.sequential_template(F.col("cluster")).alias("template"))
+    mined, _ = mine_raw(raw, SEQUENTIAL)
+    return sequential.line_cluster(unknown_lines(raw), mined).select(
+        "seq", "leaf", sequential.sequential_template(F.col("_cluster")).alias("template"))
 
 
 @query

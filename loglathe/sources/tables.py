@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from loglathe.contracts import NORMALIZED_EVENT_SCHEMA, QUARANTINE_COLUMNS, RAW_EVENT_SCHEMA
 from loglathe.operators.normalize import NormalizeOptions, normalized_events
-from loglathe.operators.sequential import CLUSTER_STATE_SCHEMA
+from loglathe.operators.similar import TEMPLATE_SCHEMA
 from loglathe.operators.templates import LEAF_STATE_SCHEMA, MODE_SEQUENTIAL
 
 RAW_BLOOM = ["event_id"]
@@ -114,7 +114,7 @@ def duplicate_ids(df: DataFrame, id_column: str) -> DataFrame:
 
 def _state_schema(options: NormalizeOptions) -> T.StructType:
     if options.mode == MODE_SEQUENTIAL:
-        return T.StructType.fromDDL(CLUSTER_STATE_SCHEMA)
+        return T.StructType.fromDDL(TEMPLATE_SCHEMA)
     return LEAF_STATE_SCHEMA
 
 

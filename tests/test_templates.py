@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from dataclasses import replace
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loglathe.contracts import UNKNOWN_ACTION_WORDS, WILDCARD
 from loglathe.functions.text import tokens
-from loglathe.operators import sequential, templates
+from loglathe.operators import sequential, similar, templates
 from loglathe.operators.normalize import learned_state, mine_raw, outcomes_unknown
 from tests.conftest import CLOCK, OPTIONS
 
@@ -188,18 +189,79 @@ def sequential_by_hand(rows, similarity):
     return seen
 
 
-@pytest.mark.parametrize("chunk", [60, 1000])
-def test_sequential_templates(spark, chunk):
-    """Several rounds, or one, give what line after line gives."""
+@pytest.mark.parametrize("chunk, few", [(60, 32), (1000, 32), (60, 1)])
+def test_sequential_templates(spark, monkeypatch, chunk, few):
+    """Several rounds, or one, through arrays or the index, give what line after line gives."""
+    monkeypatch.setattr(similar, "FEW", few)
     rows = random_lines(240)
     df = templates.tokenize_lines(spark.createDataFrame(rows, "seq bigint, raw_text string"))
-    mined, small = sequential.mine_sequential(
+    mined = sequential.mine_sequential(
         df.select("leaf", "seq", "tokens"), similarity=0.6, chunk_lines=chunk)
-    lines = templates.attach_by_key(df, mined, "leaf", small)
-    lines = lines.withColumn("cluster", sequential.line_cluster(0.6))
-    got = lines.select("seq", sequential.sequential_template(F.col("cluster")).alias("t")).orderBy(
+    lines = sequential.line_cluster(df, mined, 0.6)
+    got = lines.select("seq", sequential.sequential_template(F.col("_cluster")).alias("t")).orderBy(
         "seq").collect()
     expected = sequential_by_hand(rows, 0.6)
     assert [(r["seq"], r["t"]) for r in got] == expected
     n_templates = sequential.cluster_templates(mined).count()
     assert n_templates > 4
+
+
+def crowded_lines(n, seed=5):
+    """Lines of one leaf, nearly each of which starts a template; some join one."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        if rows and rnd.random() < 0.2:
+            parts = rnd.choice(rows)[1].split()
+            parts[rnd.randrange(1, 8)] = f"w{i}"
+        else:
+            parts = ["unit"] + [f"w{rnd.randrange(400)}" for _ in range(7)]
+        rows.append((i, " ".join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("similarity", [0.0, 0.5])
+def test_thousands_of_templates_in_one_leaf(spark, similarity):
+    rows = crowded_lines(4000)
+    df = templates.tokenize_lines(spark.createDataFrame(rows, "seq bigint, raw_text string"))
+    started = time.time()
+    mined = sequential.mine_sequential(df.select("leaf", "seq", "tokens"), similarity)
+    got = sequential.line_cluster(df, mined, similarity).select(
+        "seq", sequential.sequential_template(F.col("_cluster")).alias("t")).orderBy("seq").collect()
+    assert time.time() - started < 90
+    assert [(r["seq"], r["t"]) for r in got] == sequential_by_hand(rows, similarity)
+    assert mined.count() == (1 if similarity == 0 else len(
+        {r["t"] for r in sequential.cluster_templates(mined).select(
+            F.concat_ws(" ", F.lit("x"), "template_id").alias("t")).collect()}))
+    assert mined.columns == ["leaf", "generation", "place", "born", "tokens", "breaks"]
+
+
+def test_a_line_meets_candidates_only():
+    """The index hands out the templates that can be similar, and far from all."""
+    rnd = random.Random(1)
+    known = [{"generation": 1, "place": i, "born": i, "breaks": [None] * 8,
+              "tokens": ["unit"] + [f"w{rnd.randrange(400)}" for _ in range(7)]} for i in range(3000)]
+    index = similar.LeafIndex(known, 0.5)
+    for template in known[:50]:
+        tokens = list(template["tokens"])
+        tokens[3] = "other"
+        found = set(index.candidates(tokens))
+        alike = {i for i, t in enumerate(known) if sum(a == b for a, b in zip(t["tokens"], tokens)) >= 4}
+        assert alike <= found and len(found) < 200
+
+
+@pytest.mark.parametrize("few", [32, 0])
+def test_older_templates_come_first(spark, monkeypatch, few):
+    """What an earlier run learned is older than all of the next, through arrays and the index."""
+    monkeypatch.setattr(similar, "FEW", few)
+    rows = random_lines(240)
+    df = templates.tokenize_lines(spark.createDataFrame(rows, "seq bigint, raw_text string"))
+    lines = df.select("leaf", "seq", "tokens")
+    first = sequential.mine_sequential(lines.filter("seq < 100"), 0.6)
+    second = sequential.mine_sequential(
+        lines.filter("seq >= 100").withColumn("seq", F.col("seq") - 100), 0.6,
+        prior=sequential.cluster_state(first))
+    got = sequential.line_cluster(
+        df.filter("seq >= 100").withColumn("seq", F.col("seq") - 100), second, 0.6).select(
+        "seq", sequential.sequential_template(F.col("_cluster")).alias("t")).orderBy("seq").collect()
+    assert [(r["seq"] + 100, r["t"]) for r in got] == sequential_by_hand(rows, 0.6)[100:]
