@@ -13,7 +13,7 @@ from loglathe.contracts import (
 )
 from loglathe.functions.clock import utc_now
 from loglathe.functions.text import sha256_of, strip
-from loglathe.operators import sequential, templates
+from loglathe.operators import sequential, signatures, templates
 from loglathe.operators.cef import cef_stages
 from loglathe.operators.detect import detect_format, format_of, json_in_array, json_in_object
 from loglathe.operators.fields import finish_stages
@@ -31,7 +31,8 @@ class NormalizeOptions:
     ``mode`` picks how templates of unrecognised lines are mined:
     ``running`` keeps one template per leaf, as it stands when a line arrives;
     ``two_pass`` applies the final template to all lines, earlier ones included;
-    ``sequential`` keeps several templates per leaf, split by ``similarity``.
+    ``sequential`` keeps several templates per leaf, split by ``similarity``;
+    ``signatures`` also keeps several, mined from distinct masked lines whatever their order.
     """
 
     assumed_year: int | None = None
@@ -117,6 +118,8 @@ def mine_raw(raw: DataFrame, options: NormalizeOptions,
     lines = unknown_lines(raw, options.depth).select("leaf", "seq", "tokens")
     if options.mode == templates.MODE_SEQUENTIAL:
         return sequential.mine_sequential(lines, options.similarity, prior=prior), False
+    if options.mode == templates.MODE_SIGNATURES:
+        return signatures.mine_signatures(lines, options.similarity, prior=prior), False
     # Detection and tokenising run once; mining reads the stored tokens several times.
     return templates.mine_leaves(materialize(lines, "unknown-lines"), prior)
 
@@ -125,6 +128,8 @@ def learned_state(mined: DataFrame, options: NormalizeOptions) -> DataFrame:
     """What a later run has to know of the templates mined so far."""
     if options.mode == templates.MODE_SEQUENTIAL:
         return sequential.cluster_state(mined)
+    if options.mode == templates.MODE_SIGNATURES:
+        return signatures.signature_state(mined)
     return templates.leaf_state(mined)
 
 
@@ -141,6 +146,9 @@ def with_guess(df: DataFrame, mined: tuple[DataFrame, bool],
     if options.mode == templates.MODE_SEQUENTIAL:
         df = sequential.line_cluster(df, state, options.similarity)
         values = sequential.sequential_values(F.col("_cluster"))
+    elif options.mode == templates.MODE_SIGNATURES:
+        df = signatures.with_signature_template(df, state)
+        values = signatures.template_values_at(F.col("_template"), F.col("tokens"))
     else:
         df = attach_by_key(df, state.select("leaf", "break_seq"), "leaf", small)
         values = templates.mined_values(options.mode)

@@ -29,7 +29,8 @@ DEFAULT_SIMILARITY = 0.4
 MODE_RUNNING = "running"
 MODE_TWO_PASS = "two_pass"
 MODE_SEQUENTIAL = "sequential"
-MODES = (MODE_RUNNING, MODE_TWO_PASS, MODE_SEQUENTIAL)
+MODE_SIGNATURES = "signatures"
+MODES = (MODE_RUNNING, MODE_TWO_PASS, MODE_SEQUENTIAL, MODE_SIGNATURES)
 
 # A break before every line, for positions that an earlier run already wildcarded.
 _ALREADY_BROKEN = -(2**62)

@@ -12,7 +12,7 @@ from loglathe.contracts import (
     LINES_SCHEMA, NORMALIZED_EVENT_COLUMNS, QUARANTINE_COLUMNS, RAW_EVENT_COLUMNS,
 )
 from loglathe.functions.clock import ist_display
-from loglathe.operators import detect, enrich, sequential, templates
+from loglathe.operators import detect, enrich, sequential, signatures, templates
 from loglathe.operators.normalize import (
     NormalizeOptions, mine_raw, outcomes, outcomes_known, outcomes_of_known_formats,
     outcomes_unknown, parse_errors, unknown_lines,
@@ -34,6 +34,9 @@ _OUTCOME_COLUMNS = ["detected_format", "status", "error_reason", *NORMALIZED_EVE
 SEQUENTIAL = NormalizeOptions(assumed_year=fixtures.ASSUMED_YEAR, normalized_at=fixtures.CLOCK,
                               mode=templates.MODE_SEQUENTIAL)
 
+SIGNATURES = NormalizeOptions(assumed_year=fixtures.ASSUMED_YEAR, normalized_at=fixtures.CLOCK,
+                              mode=templates.MODE_SIGNATURES)
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -181,6 +184,11 @@ def normalize_unknown_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes_unknown(_raw(spark, sf_dir), SEQUENTIAL).select(_OUTCOME_COLUMNS)
 
 
+@query
+def normalize_unknown_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outcomes_unknown(_raw(spark, sf_dir), SIGNATURES).select(_OUTCOME_COLUMNS)
+
+
 # -- template mining -------------------------------------------------------------
 
 @query
@@ -233,6 +241,21 @@ def mine_templates_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seq", "leaf", sequential.sequential_template(F.col("_cluster")).alias("template"))
 
 
+@query
+def mine_templates_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw(spark, sf_dir)
+    mined, _ = mine_raw(raw, SIGNATURES)
+    return signatures.with_signature_template(unknown_lines(raw), mined).select(
+        "seq", "leaf", F.array_join("_template", " ").alias("template"))
+
+
+@query
+def template_table_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mined, _ = mine_raw(_raw(spark, sf_dir), SIGNATURES)
+    return signatures.signature_templates(mined).select(
+        "leaf_key", F.array_join("template", " ").alias("template"), "n_signatures", "n_lines")
+
+
 @query
 def template_table_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The templates of free text: all lines of all documents, many rare shapes."""

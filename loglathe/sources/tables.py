@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from loglathe.contracts import NORMALIZED_EVENT_SCHEMA, QUARANTINE_COLUMNS, RAW_EVENT_SCHEMA
 from loglathe.operators.normalize import NormalizeOptions, normalized_events
 from loglathe.operators.similar import TEMPLATE_SCHEMA
-from loglathe.operators.templates import LEAF_STATE_SCHEMA, MODE_SEQUENTIAL
+from loglathe.operators.signatures import SIGNATURE_STATE_SCHEMA
+from loglathe.operators.templates import LEAF_STATE_SCHEMA, MODE_SEQUENTIAL, MODE_SIGNATURES
 
 RAW_BLOOM = ["event_id"]
 OUTCOME_BLOOM = ["raw_event_id", "normalized_id", "src_ip", "dst_ip"]
@@ -115,13 +116,15 @@ def duplicate_ids(df: DataFrame, id_column: str) -> DataFrame:
 def _state_schema(options: NormalizeOptions) -> T.StructType:
     if options.mode == MODE_SEQUENTIAL:
         return T.StructType.fromDDL(TEMPLATE_SCHEMA)
+    if options.mode == MODE_SIGNATURES:
+        return T.StructType.fromDDL(SIGNATURE_STATE_SCHEMA)
     return LEAF_STATE_SCHEMA
 
 
 def _template_folder(path: str, run: str, options: NormalizeOptions) -> str:
     """What was learned depends on the mode and its settings, so the folder names them."""
     kind = f"{options.mode}-depth{options.depth}"
-    if options.mode == MODE_SEQUENTIAL:
+    if options.mode in (MODE_SEQUENTIAL, MODE_SIGNATURES):
         kind += f"-similarity{options.similarity}"
     return f"{path}/run={run}/kind={kind}"
 

@@ -177,6 +177,33 @@ runs AS (SELECT *, min(tok) OVER w <> max(tok) OVER w AS wild,
   FROM toks WINDOW w AS (PARTITION BY leaf, pos ORDER BY seq
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
+# Leaders among the masked lines of a leaf, walked one after the other.
+_SIGNATURES_CTE = r"""
+sigs AS (SELECT leaf, list_transform(tokens, lambda t: CASE WHEN regexp_matches(t, '\d') THEN '<*>' ELSE t END)
+    AS sig, count(*) AS n_lines FROM leafs GROUP BY 1, 2),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY leaf
+    ORDER BY n_lines DESC, array_to_string(sig, chr(31))) AS k FROM sigs),
+walk AS (SELECT leaf, k, [sig] AS leaders, true AS leads FROM ordered WHERE k = 1
+  UNION ALL
+  SELECT o.leaf, o.k, CASE WHEN hit THEN leaders ELSE list_append(leaders, o.sig) END, NOT hit
+  FROM (SELECT o.*, w.leaders, len(list_filter(w.leaders, lambda l: len(list_filter(list_zip(l, o.sig),
+          lambda p: p[1] = p[2] AND p[1] <> '<*>')) / len(o.sig) >= 0.4)) > 0 AS hit
+        FROM walk w JOIN ordered o ON o.leaf = w.leaf AND o.k = w.k + 1) o),
+owners AS (SELECT o.leaf, o.k, o.sig, o.n_lines, l.k AS leader
+  FROM ordered o JOIN walk w ON o.leaf = w.leaf AND w.leads AND w.k <= o.k
+  JOIN ordered l ON l.leaf = w.leaf AND l.k = w.k
+  WHERE l.k = o.k OR len(list_filter(list_zip(l.sig, o.sig),
+    lambda p: p[1] = p[2] AND p[1] <> '<*>')) / len(o.sig) >= 0.4
+  QUALIFY row_number() OVER (PARTITION BY o.leaf, o.k ORDER BY len(list_filter(list_zip(l.sig, o.sig),
+    lambda p: p[1] = p[2] AND p[1] <> '<*>')) DESC,
+    len(list_filter(l.sig, lambda t: t = '<*>')) DESC, l.k) = 1),
+agreed AS (SELECT leaf, leader, pos, CASE WHEN min(tok) = max(tok) THEN min(tok) ELSE '<*>' END AS tok
+  FROM (SELECT leaf, leader, unnest(sig) AS tok, generate_subscripts(sig, 1) AS pos FROM owners) GROUP BY ALL),
+shapes AS (SELECT leaf, leader, list(tok ORDER BY pos) AS template FROM agreed GROUP BY ALL),
+shaped AS (SELECT f.*, template FROM leafs f JOIN owners o ON o.leaf = f.leaf
+    AND o.sig = list_transform(f.tokens, lambda t: CASE WHEN regexp_matches(t, '\d') THEN '<*>' ELSE t END)
+  JOIN shapes s ON s.leaf = o.leaf AND s.leader = o.leader)"""
+
 
 def _classified(source: str) -> str:
     """Field guesses from ``source(event_id, i, tok)``, as a chain of CTEs ending in ``cl``."""
@@ -218,6 +245,17 @@ n_unknown AS (SELECT event_id, fmt, coalesce(stamp, '{CLOCK}') AS ts, src_ip, ds
     'unknown' AS severity, CAST(NULL AS VARCHAR) AS error_reason FROM cl)"""
 
 
+def _unknown_signatures() -> str:
+    """``n_unknown`` with the values at the wildcards of a line's signature template."""
+    whole = _unknown_cte("wild")
+    start = whole.index("vals AS (")
+    end = whole.index("\n", start)
+    spread = ("spread AS (SELECT event_id, unnest(tokens) AS tok, unnest(template) AS shape, "
+              "generate_subscripts(tokens, 1) AS i FROM shaped),")
+    vals = f"{spread}\nvals AS (SELECT event_id, i, tok FROM spread WHERE shape = '<*>'),"
+    return whole[:start] + _SIGNATURES_CTE.strip() + ",\n" + vals + whole[end:]
+
+
 def _outcome_cte(parsed: str) -> str:
     """``outcome`` from a relation with the columns of ``_FIELDS``."""
     ok = "error_reason IS NULL"
@@ -309,7 +347,16 @@ ORACLES: dict[str, str] = {
     "normalize_unknown": _one_format(_unknown_cte("wild"), "n_unknown"),
     "normalize_unknown_two_pass": _one_format(_unknown_cte("wild_final"), "n_unknown"),
     "normalize_unknown_sequential": _one_format(_unknown_cte("wild"), "n_unknown"),
+    "normalize_unknown_signatures": _one_format(_unknown_signatures(), "n_unknown").replace(
+        "WITH", "WITH RECURSIVE", 1),
     # template mining
+    "mine_templates_signatures": f"""WITH RECURSIVE {_RAW_CTE}, {_TOKENS_CTE}, {_SIGNATURES_CTE}
+        SELECT seq, leaf, array_to_string(template, ' ') AS template FROM shaped""",
+    "template_table_signatures": f"""WITH RECURSIVE {_RAW_CTE}, {_TOKENS_CTE}, {_SIGNATURES_CTE}
+        SELECT o.leaf AS leaf_key, array_to_string(any_value(template), ' ') AS template,
+          count(*) AS n_signatures, CAST(sum(n_lines) AS BIGINT) AS n_lines
+        FROM owners o JOIN shapes s ON s.leaf = o.leaf AND s.leader = o.leader
+        GROUP BY o.leaf, o.leader""",
     "tokenize_unknown": f"""WITH {_RAW_CTE}, {_TOKENS_CTE} SELECT seq, len(tokens) AS n_tokens,
         array_to_string(tokens, ' ') AS token_text FROM leafs""",
     "mine_templates": f"""WITH {_RAW_CTE}, {_TOKENS_CTE} SELECT seq, leaf,
