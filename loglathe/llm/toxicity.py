@@ -43,12 +43,14 @@ from loglathe.operators.skew import attach_by_key, fits_broadcast
 
 BITS = 20
 GRAM_BYTES = 5
-# Grams of so many confirmed texts, and whose use there differs from that in all texts by so many
-# standard errors, make up the classifier, the most significant ones if there are more.
+# Grams of so many confirmed texts, that are LIFT times as frequent there as in all texts (or as
+# rare), by so many standard errors, make up the classifier, the most significant ones if there are
+# more. Without the factor a large corpus would make ever smaller differences count.
 MIN_CONFIRMED = 5
+LIFT = 2.0
 SIGNIFICANT = 5.0
 WIDTH = 1 << 14
-STEPS, RATE, DECAY = 80, 0.1, 1e-4
+STEPS, RATE, DECAY = 30, 0.2, 1e-5
 THRESHOLD = 0.7
 # A table of ids is broadcast below both bounds.
 BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 64 << 20
@@ -291,12 +293,16 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
         F.col("n") >= MIN_CONFIRMED))
     at, all_ = _collected(_counted(texts.select("text"), gram))
     # Each such gram is in all texts as well, so both lists agree.
-    apart = significant(n, all_, n_confirmed, n_all)
+    lift = np.log(n / n_confirmed) - np.log(all_ / n_all)
+    apart = np.where(np.abs(lift) >= np.log(LIFT), significant(n, all_, n_confirmed, n_all), 0)
     best = np.argsort(-apart, kind="stable")[:WIDTH]
     best = np.sort(best[apart[best] >= SIGNIFICANT])
     known, mean = at[best], np.append(n[best], n_confirmed) / n_confirmed
     table = stored(encoded(rows, known), "toxic-grams")
-    weights = learn(table.filter("learning").select("confirmed", "numbers"), len(known), mean,
+    # Each task of a step gives a number per gram, so a step takes no more tasks than run at once.
+    rows = table.filter("learning").select("confirmed", "numbers").coalesce(
+        docs.sparkSession.sparkContext.defaultParallelism)
+    weights = learn(rows, len(known), mean,
                     n_confirmed, n_all, prior, steps)
     return Model(known, weights), table
 
