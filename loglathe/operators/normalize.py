@@ -187,7 +187,13 @@ def outcomes_unknown(raw: DataFrame, options: NormalizeOptions | None = None,
     """Outcomes of the events in no known format."""
     options = options or NormalizeOptions()
     mined = mine_raw(raw, options, prior)
-    df = unknown_lines(raw, options.depth).withColumn("detected_format", F.lit("unknown"))
+    return outcomes_of_leaves(unknown_lines(raw, options.depth), mined, options)
+
+
+def outcomes_of_leaves(lines: DataFrame, mined: tuple[DataFrame, bool],
+                       options: NormalizeOptions) -> DataFrame:
+    """Outcomes of ``unknown_lines`` whose leaves are described already."""
+    df = lines.withColumn("detected_format", F.lit("unknown"))
     return _shape(with_guess(df, mined, options), options)
 
 

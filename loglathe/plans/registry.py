@@ -21,7 +21,7 @@ from loglathe.operators.skew import attach_by_key
 from loglathe.plans import batch, queries
 from loglathe.session import configure_session, scratch_path
 from loglathe.sources import dimensions, files, tables
-from loglathe.streaming import live
+from loglathe.streaming import live, mined
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -460,3 +460,22 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = store.events().join(
         store.raw().select(F.col("event_id").alias("raw_event_id"), "raw_text"), "raw_event_id")
     return events.drop("normalized_id", "raw_event_id")
+
+
+@query
+def stream_unknown_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unrecognised lines in several micro-batches, with templates in the state store."""
+    folder = scratch_path(spark, "tailed")
+    _append_files(fixtures.log_lines(spark, sf_dir), folder)
+    store = batch.EventStore(spark, scratch_path(spark, "live"))
+    first = live.start_raw_stream(
+        live.tail_lines(spark, folder, "earliest", "*.txt", max_bytes=1 << 21,
+                        state_path=scratch_path(spark, "tail-state")), store, scratch_path(spark, "cp"),
+         interval="0 seconds", ingested_at=fixtures.CLOCK)
+    first.processAllAvailable()
+    first.stop()
+    mined.start_unknown_stream(
+        store, scratch_path(spark, "cp"), OPTIONS, available_now=True, max_files=16).awaitTermination()
+    events = store.events().join(
+        store.raw().select(F.col("event_id").alias("raw_event_id"), "raw_text"), "raw_event_id")
+    return events.drop("normalized_id", "raw_event_id")

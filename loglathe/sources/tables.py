@@ -57,6 +57,14 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def write_table(df: DataFrame, path: str) -> None:
+    _write(df, path, [], [])
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return _read(spark, path, schema)
+
+
 # -- raw events ------------------------------------------------------------
 
 def write_raw(raw: DataFrame, path: str, run: str = "0") -> None:

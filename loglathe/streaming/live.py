@@ -11,9 +11,9 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from loglathe.contracts import RAW_EVENT_SCHEMA
+from loglathe.contracts import LINES_SCHEMA, RAW_EVENT_SCHEMA
 from loglathe.functions.clock import ISO_UTC, utc_now
 from loglathe.operators.normalize import (
     NormalizeOptions, learned_state, mine_raw, outcomes, to_raw_events,
@@ -27,17 +27,53 @@ POLL_INTERVAL = "1.5 seconds"
 STREAM_RUN = "stream"
 
 
-def tail_lines(spark: SparkSession, path: str, starting: str = "latest",
-               glob: str = "*.log") -> DataFrame:
+def tail_lines(spark: SparkSession, path: str, starting: str = "latest", glob: str = "*.log",
+               max_bytes: int | None = None, state_path: str | None = None,
+               observed: str | None = None) -> DataFrame:
     """New lines of the log files in a folder, as a stream.
 
-    ``latest`` leaves out what is there at the start, ``earliest`` begins with it.
+    ``latest`` leaves out what is there at the start, ``earliest`` begins with it. ``max_bytes``
+    bounds a micro-batch; it needs ``state_path``, a folder that belongs to this query as its checkpoint does.
+    With ``observed`` the progress of the query has metrics of that name: ``lines``,
+    ``shrunk_files`` (files found shorter than before, once each time) and ``held_back_bytes``, what such
+    files hold now and is not read.
     """
     tail.register(spark)
-    return (
-        spark.readStream.format(tail.FORMAT)
-        .option("startingOffsets", starting).option("pathGlobFilter", glob).load(path)
-    )
+    reader = spark.readStream.format(tail.FORMAT).option("startingOffsets", starting).option(
+        "pathGlobFilter", glob)
+    if state_path is not None:
+        reader = reader.option("statePath", state_path)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    if observed is None:
+        return reader.load(path)
+    lines = reader.option("notices", "true").load(path).observe(
+        observed, F.count("raw_text").alias("lines"), F.count("shrunk_to").alias("shrunk_files"),
+        F.coalesce(F.sum("shrunk_to"), F.lit(0)).alias("held_back_bytes"))
+    return lines.filter("raw_text IS NOT NULL").select(LINES_SCHEMA.fieldNames())
+
+
+class RotationListener(StreamingQueryListener):
+    """Adds up, over all batches of queries it hears of, the metrics named ``observed``."""
+
+    def __init__(self, observed: str) -> None:
+        self.observed = observed
+        self.totals = {"lines": 0, "shrunk_files": 0, "held_back_bytes": 0}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.observed)
+        if row is not None:
+            for name in self.totals:
+                self.totals[name] += row[name]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def start_raw_stream(lines: DataFrame, store: EventStore, checkpoint: str,

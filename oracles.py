@@ -470,6 +470,9 @@ ORACLES: dict[str, str] = {
     "stream_after_batch": f"""{_ALL} SELECT raw_text, source_format
         FROM events_out JOIN raw ON event_id = raw_event_id""",
     "tail_new_lines": f"WITH {_RAW_CTE} SELECT raw_text FROM lines",
+    "stream_unknown_events": f"""{_ALL} SELECT raw_text, {", ".join(
+            c for c in NORMALIZED_EVENT_COLUMNS if c not in ("normalized_id", "raw_event_id"))}
+        FROM events_out JOIN raw ON event_id = raw_event_id WHERE source_format = 'unknown'""",
     "stream_events": f"""{_ALL} SELECT raw_text, {", ".join(
             c for c in NORMALIZED_EVENT_COLUMNS if c not in ("normalized_id", "raw_event_id"))}
         FROM events_out JOIN raw ON event_id = raw_event_id""",

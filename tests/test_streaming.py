@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import io
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from loglathe.contracts import LINES_SCHEMA
 from loglathe.plans.batch import EventStore, ingest_folder
+from loglathe.sources import tail
 from loglathe.sources.tail import TailReader, last_line_end, lines_in_range
 from loglathe.streaming import live
 from tests.conftest import CLOCK, OPTIONS
@@ -143,3 +146,120 @@ def test_a_repeated_batch_replaces_itself(spark, folder, raw_of):
     live.process_batch(store, OPTIONS, raw_of(["link from 10.0.0.9 was allowed"]), 1)
     assert store.outcomes().count() == 3
     assert store.events().filter("action = 'allow'").first()["src_ip"] == "10.0.0.9"
+
+
+def drained(reader, start):
+    """Polls until nothing is left: the texts of each, and the last offset."""
+    batches = []
+    while True:
+        texts, end = polled(reader, start)
+        if end == start:
+            return batches, end
+        batches.append(texts)
+        start = end
+
+
+def bounded(folder, budget="100", **options):
+    return TailReader({"path": folder, "startingoffsets": "earliest", "maxbytespertrigger": budget,
+                       "statepath": f"{folder}/state", **options})
+
+
+def test_a_backlog_comes_in_bounded_batches(folder):
+    for k in range(7):
+        write(folder, f"f{k}.log", "".join(f"{k}/{i}\n" for i in range(60)))
+    write(folder, "f3.log", "y" * 350 + "\nlast\nhalf", "a")
+    reader = bounded(folder)
+    start = reader.initialOffset()
+    end, seen, arrivals = start, [], []
+    while True:
+        end = reader.latestOffset()
+        if end == start:
+            break
+        parts = reader.partitions(start, end)
+        assert sum(p.stop - p.start for p in parts) <= 100
+        for part in parts:
+            for batch in reader.read(part):
+                seen += batch.column("raw_text").to_pylist()
+                arrivals += batch.column("seq").to_pylist()
+        start = end
+        # A new file does not wait for the whole backlog of others, nor they for it.
+        if len(seen) >= 40 and not os.path.exists(f"{folder}/f9.log"):
+            write(folder, "f9.log", "late\n")
+    want = [f"{k}/{i}" for k in range(7) for i in range(60)] + ["y" * 350, "last", "late"]
+    assert sorted(seen) == sorted(want)
+    assert arrivals == sorted(set(arrivals))
+    write(folder, "f3.log", " line\n", "a")
+    assert drained(reader, start)[0] == [["half line"]]
+
+
+def test_offsets_hold_changes_only_and_survive_restarts(folder, monkeypatch):
+    monkeypatch.setattr(tail, "_SNAPSHOT_AFTER", 20)
+    for k in range(300):
+        write(folder, f"f{k:03d}.log", f"old {k}\n")
+    reader = bounded(folder, budget="90")
+    start = reader.initialOffset()
+    seen = []
+    for turn in range(100):
+        if turn % 3 == 2:
+            # A restart: Spark may ask for the next offset first, or plan the last batch again.
+            reader = bounded(folder, budget="90")
+            if turn % 2:
+                reader.partitions(start, start)
+        texts, end = polled(reader, start)
+        reader.commit(end)
+        assert len(end["changed"]) <= 40
+        if end == start:
+            break
+        seen += texts
+        start = end
+    assert sorted(seen) == sorted(f"old {k}" for k in range(300))
+    assert start["snapshot"] > 5
+    assert len([f for f in os.listdir(f"{folder}/state") if f.startswith("snapshot")]) <= 6
+    with pytest.raises(ValueError):
+        TailReader({"path": folder, "maxbytespertrigger": "5"})
+
+
+def test_driver_opens_no_file(folder, monkeypatch):
+    """Ten thousand files: a poll is one listing, whatever the files hold."""
+    for k in range(10_000):
+        write(folder, f"f{k:05d}.log", f"line {k}\n")
+    reader = bounded(folder, budget="50000")
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("opened a log file")
+
+    monkeypatch.setattr(tail, "last_line_end", refuse)
+    start = reader.initialOffset()
+    end = reader.latestOffset()
+    assert sum(p.stop - p.start for p in reader.partitions(start, end)) == 50_000
+    assert reader.latestOffset()["arrived"] == sum(len(f"line {k}\n") for k in range(10_000))
+
+
+def test_rotation_shows_in_the_progress(spark, folder):
+    logs = f"{folder}/logs"
+    os.mkdir(logs)
+    write(logs, "a.log", "one\ntwo\nthree\n")
+    listener = live.RotationListener("tailed")
+    spark.streams.addListener(listener)
+    stream = (live.tail_lines(spark, logs, "earliest", observed="tailed", state_path=f"{folder}/state")
+              .writeStream.format("parquet").option("path", f"{folder}/out")
+              .option("checkpointLocation", f"{folder}/cp").trigger(processingTime="0 seconds").start())
+    try:
+        stream.processAllAvailable()
+        write(logs, "a.log", "new\n")
+        write(logs, "b.log", "four\n")
+        stream.processAllAvailable()
+        metrics = [dict(p.observedMetrics["tailed"].asDict()) for p in stream.recentProgress
+                   if "tailed" in p.observedMetrics]
+        assert sum(m["lines"] for m in metrics) == 4
+        assert sum(m["shrunk_files"] for m in metrics) == 1
+        assert sum(m["held_back_bytes"] for m in metrics) == 4
+        deadline = time.time() + 20
+        while listener.totals["shrunk_files"] < 1 and time.time() < deadline:
+            time.sleep(0.2)
+        assert listener.totals == {"lines": 4, "shrunk_files": 1, "held_back_bytes": 4}
+    finally:
+        stream.stop()
+        spark.streams.removeListener(listener)
+    assert sorted(r["raw_text"] for r in spark.read.schema(LINES_SCHEMA).parquet(
+        f"{folder}/out").collect()) == ["four", "one", "three", "two"]
