@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglathe import fixtures
@@ -18,7 +18,7 @@ from loglathe.operators.normalize import (
     outcomes_unknown, parse_errors, unknown_lines,
 )
 from loglathe.operators.skew import attach_by_key
-from loglathe.plans import batch, queries
+from loglathe.plans import audit, batch, compact, queries
 from loglathe.session import configure_session, scratch_path
 from loglathe.sources import dimensions, files, tables
 from loglathe.streaming import live, mined
@@ -304,6 +304,11 @@ def traceability_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queries.traceability_audit(store.raw(), store.outcomes())
 
 
+@query
+def traceability_audit_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.incremental(_compacted(spark, sf_dir))
+
+
 @query
 def vocabulary_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queries.vocabulary_audit(_store(spark, sf_dir).events())
@@ -321,6 +326,48 @@ def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queries.newest_first(_store(spark, sf_dir).events())
 
 
+# Three runs on three days. Each mines its own templates, which decide the fields of unknown lines.
+_DAYS = {"mon": "2024-02-05T08:00:00Z", "tue": "2024-02-06T08:00:00Z", "wed": "2024-02-07T08:00:00Z"}
+
+
+def _known_ip() -> Column:
+    return F.when(F.col("source_format") != "unknown", F.col("src_ip")).alias("src_ip")
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> batch.EventStore:
+    """A store whose first two runs are compacted, once per application."""
+    key = (spark.sparkContext.applicationId, f"compacted {sf_dir}")
+    if key not in _STORES:
+        store = batch.EventStore(spark, scratch_path(spark, "days"))
+        lines = files.clean_lines(fixtures.log_lines(spark, sf_dir))
+        for k, (run, clock) in enumerate(_DAYS.items()):
+            options = NormalizeOptions(assumed_year=fixtures.ASSUMED_YEAR, normalized_at=clock)
+            batch.ingest_lines(store, lines.filter(F.col("seq") % 3 == k), options, run,
+                               ingested_at=fixtures.CLOCK)
+            if run == "tue":
+                compact.compact(store)
+        compact.drop_replaced(store)
+        _STORES[key] = store
+    return _STORES[key]
+
+
+@query
+def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of a store in which compaction has taken the place of some runs."""
+    return _compacted(spark, sf_dir).events().select(
+        "normalized_id", "normalized_at", "source_format", _known_ip())
+
+
+@query
+def events_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page behind the first hundred events of one day; it goes on into the day before."""
+    store = _compacted(spark, sf_dir)
+    day = store.events().filter(F.col("normalized_at") == _DAYS["tue"])
+    last = day.orderBy(F.desc("normalized_id")).offset(100).first()
+    return compact.page(store, 250, (last["normalized_at"], last["normalized_id"])).select(
+        "normalized_id", "normalized_at", "source_format", _known_ip())
+
+
 @query
 def filter_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queries.filter_events(_store(spark, sf_dir).events(), "json", "deny")

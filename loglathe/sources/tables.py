@@ -11,15 +11,19 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglathe.contracts import NORMALIZED_EVENT_SCHEMA, QUARANTINE_COLUMNS, RAW_EVENT_SCHEMA
+from loglathe.contracts import (
+    NORMALIZED_EVENT_SCHEMA, QUARANTINE_COLUMNS, RAW_EVENT_SCHEMA, STATUS_NORMALIZED, STATUS_PARSE_ERROR,
+    VOCABULARIES,
+)
 from loglathe.operators.normalize import NormalizeOptions, normalized_events
 from loglathe.operators.similar import TEMPLATE_SCHEMA
 from loglathe.operators.signatures import SIGNATURE_STATE_SCHEMA
 from loglathe.operators.templates import LEAF_STATE_SCHEMA, MODE_SEQUENTIAL, MODE_SIGNATURES
+from loglathe.sources import folders
 
 RAW_BLOOM = ["event_id"]
 OUTCOME_BLOOM = ["raw_event_id", "normalized_id", "src_ip", "dst_ip"]
@@ -89,19 +93,123 @@ def new_only(raw: DataFrame, stored: DataFrame) -> DataFrame:
 
 # -- outcomes: normalised events and quarantine ------------------------------
 
-def write_outcomes(outcome: DataFrame, path: str, run: str = "0") -> None:
+def _enforced(outcome: DataFrame) -> DataFrame:
+    """The same rows; a value that the contract forbids fails the task that meets it."""
+    event = F.col("status") == STATUS_NORMALIZED
+
+    def checked(name: str, bad: Column, what: str) -> Column:
+        message = F.concat(F.lit(f"{name} {what}: "), F.coalesce(F.col(name).cast("string"), F.lit("null")),
+                           F.lit(" of raw event "), F.coalesce("raw_event_id", F.lit("null")))
+        return F.when(bad, F.raise_error(message)).otherwise(F.col(name))
+
+    columns = {}
+    for field in NORMALIZED_EVENT_SCHEMA.fields:
+        words = VOCABULARIES.get(field.name)
+        if words is not None:
+            columns[field.name] = checked(
+                field.name, event & ~F.coalesce(F.col(field.name).isin(words), F.lit(False)),
+                "takes no such word")
+        elif not field.nullable:
+            needed = F.lit(True) if field.name == "raw_event_id" else event
+            columns[field.name] = checked(field.name, needed & F.col(field.name).isNull(), "must not be null")
+    columns["status"] = checked(
+        "status", ~F.coalesce(F.col("status").isin(STATUS_NORMALIZED, STATUS_PARSE_ERROR), F.lit(False)),
+        "takes no such word")
+    return outcome.withColumns(columns)
+
+
+class DuplicateKey(ValueError):
+    """An event id that occurs more than once."""
+
+
+def write_outcomes(outcome: DataFrame, path: str, run: str = "0",
+                   against: DataFrame | None = None) -> None:
     """One parse and one write feed both the event table and the quarantine.
 
     ``status`` and ``source_format`` are partition columns: reading events never
     touches failures, and a format filter prunes folders.
+
+    The contract is enforced: a word outside a closed vocabulary, a null where none may be and a
+    repeated id are errors. Rows go to a hidden folder first and take the run's place when all
+    is well, so a failed run leaves no folder and the former content of a repeated run stays. Ids name
+    their run, so those of other runs can only repeat if someone passes them on; ``against``, stored
+    outcomes of other runs, is compared too if given.
     """
-    _write(outcome.select(OUTCOME_SCHEMA.fieldNames()), f"{path}/run={run}",
-           OUTCOME_BLOOM, ["status", "source_format"])
+    spark = outcome.sparkSession
+    hidden = f"{path}/_staged-{run}"
+    try:
+        _write(_enforced(outcome.select(OUTCOME_SCHEMA.fieldNames())), hidden, OUTCOME_BLOOM,
+               ["status", "source_format"])
+        ids = spark.read.schema(OUTCOME_SCHEMA).parquet(hidden).select("raw_event_id")
+        repeated = duplicate_ids(ids, "raw_event_id").select("raw_event_id")
+        if against is not None:
+            repeated = repeated.unionByName(against.select("raw_event_id").join(ids, "raw_event_id", "left_semi"))
+        first = repeated.first()
+        if first is not None:
+            raise DuplicateKey(f"raw_event_id occurs more than once: {first[0]}")
+        folders.move(spark, hidden, f"{path}/run={run}")
+    finally:
+        folders.delete(spark, hidden)
+
+
+def run_names(spark: SparkSession, path: str) -> list[str]:
+    return [n.removeprefix("run=") for n in folders.names(spark, path) if n.startswith("run=")]
+
+
+# Generations are what compaction makes of runs; see ``plans.compact``.
+
+def generation_path(path: str, generation: str) -> str:
+    return f"{path}_compacted/generation={generation}"
+
+
+def manifests(spark: SparkSession, path: str) -> list[dict]:
+    folder = f"{path}_compacted/_manifests"
+    return [folders.read_json(spark, f"{folder}/{n}") for n in folders.names(spark, folder)
+            if n.endswith(".json") and not n.startswith("_")]
+
+
+def publish(spark: SparkSession, path: str, manifest: dict) -> None:
+    folders.write_json(spark, f"{path}_compacted/_manifests/{manifest['generation']}.json", manifest)
+
+
+def replaced_runs(spark: SparkSession, path: str) -> set[str]:
+    return {run for manifest in manifests(spark, path) for run in manifest["replaces"]}
+
+
+def read_runs(spark: SparkSession, path: str, runs: list[str]) -> DataFrame:
+    """Outcomes of the named runs, with the run's name."""
+    if not runs:
+        return spark.createDataFrame([], OUTCOME_SCHEMA).withColumn("run", F.lit(None).cast("string"))
+    found = spark.read.schema(T.StructType([*OUTCOME_SCHEMA.fields, T.StructField("run", T.StringType())]))
+    return found.option("basePath", path).parquet(*[f"{path}/run={run}" for run in runs])
+
+
+def fresh_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """Outcomes that no generation holds yet."""
+    gone = replaced_runs(spark, path)
+    return read_runs(spark, path, [run for run in run_names(spark, path) if run not in gone])
+
+
+def compacted_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """Outcomes in published generations, with run and day."""
+    schema = T.StructType([*OUTCOME_SCHEMA.fields, T.StructField("run", T.StringType()),
+                           T.StructField("day", T.StringType())])
+    targets = [generation_path(path, m["generation"]) for m in manifests(spark, path)]
+    return spark.read.schema(schema).option("basePath", f"{path}_compacted").parquet(*targets).select(
+        schema.fieldNames())
 
 
 def read_outcomes(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
-    target = path if run is None else f"{path}/run={run}"
-    stored = _read(spark, target, OUTCOME_SCHEMA)
+    gone = replaced_runs(spark, path)
+    if not gone:
+        target = path if run is None else f"{path}/run={run}"
+        stored = _read(spark, target, OUTCOME_SCHEMA)
+    elif run is not None and run not in gone:
+        stored = _read(spark, f"{path}/run={run}", OUTCOME_SCHEMA)
+    else:
+        stored = compacted_outcomes(spark, path).drop("day")
+        stored = stored.filter(F.col("run") == run) if run is not None else stored.unionByName(
+            fresh_outcomes(spark, path))
     return stored.withColumn("detected_format", F.col("source_format"))
 
 

@@ -477,3 +477,22 @@ ORACLES: dict[str, str] = {
             c for c in NORMALIZED_EVENT_COLUMNS if c not in ("normalized_id", "raw_event_id"))}
         FROM events_out JOIN raw ON event_id = raw_event_id""",
 }
+
+_RUN_OF = "CASE seq % 3 WHEN 0 THEN 'mon' WHEN 1 THEN 'tue' ELSE 'wed' END"
+_DAY_OF = ("CASE {0} % 3 WHEN 0 THEN '2024-02-05T08:00:00Z' WHEN 1 THEN '2024-02-06T08:00:00Z' "
+           "ELSE '2024-02-07T08:00:00Z' END")
+# Templates are mined per run, so only columns that they do not decide are compared.
+_THREE_RUNS = _ALL.replace(f"sha256('{RUN}' ||", f"sha256({_RUN_OF} ||")
+_DAY_ROWS = f"""{_THREE_RUNS}, dayed AS (
+  SELECT normalized_id, {_DAY_OF.format("raw.seq")} AS normalized_at, source_format,
+         CASE WHEN source_format <> 'unknown' THEN src_ip END AS src_ip
+  FROM events_out JOIN raw ON event_id = raw_event_id)"""
+ORACLES["compacted_events"] = f"{_DAY_ROWS} SELECT * FROM dayed"
+ORACLES["events_page"] = f"""{_DAY_ROWS},
+  last_seen AS (SELECT normalized_id AS id FROM dayed WHERE normalized_at = '2024-02-06T08:00:00Z'
+    ORDER BY normalized_id DESC LIMIT 1 OFFSET 100)
+  SELECT dayed.* FROM dayed, last_seen
+  WHERE normalized_at < '2024-02-06T08:00:00Z'
+     OR normalized_at = '2024-02-06T08:00:00Z' AND normalized_id > id
+  ORDER BY normalized_at DESC, normalized_id LIMIT 250"""
+ORACLES["traceability_audit_incremental"] = ORACLES["traceability_audit"]
