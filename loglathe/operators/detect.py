@@ -32,36 +32,33 @@ def is_strict_json(text: Column) -> Column:
     return json_in_array(text).isNotNull() & json_in_object(text).isNotNull()
 
 
-def is_json_object(raw_text: Column) -> Column:
-    text = strip(raw_text)
+def starts_strict_json(text: Column) -> Column:
     # The CASE keeps the JSON parser away from lines of other formats.
     return F.when(text.startswith("{"), is_strict_json(text)).otherwise(False)
 
 
-def _has_cef_shape(text: Column) -> Column:
+def is_json_object(raw_text: Column) -> Column:
+    return starts_strict_json(strip(raw_text))
+
+
+def has_cef_shape(text: Column) -> Column:
     return text.startswith("CEF:")
 
 
-def _has_syslog_shape(text: Column) -> Column:
+def has_syslog_shape(text: Column) -> Column:
     return text.rlike(BSD_SYSLOG_SHAPE) | text.rlike(IETF_SYSLOG_SHAPE)
 
 
 def is_cef(raw_text: Column) -> Column:
-    return _has_cef_shape(strip(raw_text))
+    return has_cef_shape(strip(raw_text))
 
 
 def is_syslog(raw_text: Column) -> Column:
-    return _has_syslog_shape(strip(raw_text))
-
-
-def format_of(is_json: Column, text: Column) -> Column:
-    """JSON, then CEF, then syslog, else unknown, for a text that is stripped already."""
-    return (
-        F.when(is_json, "json").when(_has_cef_shape(text), "cef")
-        .when(_has_syslog_shape(text), "syslog").otherwise("unknown")
-    )
+    return has_syslog_shape(strip(raw_text))
 
 
 def detect_format(raw_text: Column) -> Column:
     """The format of a line by its shape; null and blank are unknown."""
-    return format_of(is_json_object(raw_text), strip(raw_text))
+    # The entries name the shapes above, so they are imported when they are needed.
+    from loglathe.operators import formats
+    return formats.format_of(strip(raw_text))

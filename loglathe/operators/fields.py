@@ -1,23 +1,17 @@
 """From the texts a parser found to typed event fields, shared by all formats.
 
 A parser only has to find texts. It yields a struct ``found`` with the fields of
-``FOUND_FIELDS``; ``finish_stages`` then does the typing and the vocabulary mapping
+``FOUND_FIELDS``; ``formats.finish_stages`` then does the typing and the vocabulary mapping
 once for all formats, which keeps the generated code of a mixed scan small.
 """
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loglathe.contracts import (
-    CEF_ACTION_WORDS, CEF_SEVERITY_WORDS, JSON_ACTION_WORDS, JSON_SEVERITY_WORDS, PROTOCOL_WORDS,
-)
-from loglathe.functions.clock import ISO_PARTS, from_epoch, from_iso_parts, iso_parts
-from loglathe.functions.text import map_words, to_bigint, word_key
-from loglathe.operators.stages import Stages
+from loglathe.contracts import CEF_SEVERITY_WORDS
+from loglathe.functions.text import map_words
 
 FOUND_FIELDS = [
     "epoch", "time", "src_ip", "dst_ip", "src_port", "dst_port", "action", "protocol",
@@ -52,45 +46,3 @@ def cef_severity(key: Column, level: Column) -> Column:
         .when(level.between(7, 8), "high").when(level.between(9, 10), "critical")
         .otherwise("unknown")
     )
-
-
-@cache
-def finish_stages() -> Stages:
-    """From ``found`` and ``detected_format`` to the typed struct ``parsed``.
-
-    A JSON or CEF event without a usable time takes its ingestion time; a syslog
-    line with an impossible date is a parse error.
-    """
-    found, fmt = F.col("found"), F.col("detected_format")
-    action_key, protocol_key, severity_key = (
-        F.col(f"_{name}_key") for name in ("action", "protocol", "severity"))
-    severity = (
-        F.when(fmt == "syslog", device_severity(F.col("_level")))
-        .when(fmt == "cef", cef_severity(severity_key, F.col("_level")))
-        .otherwise(map_words(severity_key, JSON_SEVERITY_WORDS, "unknown"))
-    )
-    action = F.when(
-        fmt == "cef", map_words(action_key, CEF_ACTION_WORDS, "unknown")).otherwise(
-        map_words(action_key, JSON_ACTION_WORDS, "unknown"))
-    bad_date = (fmt == "syslog") & F.col("_time").isNull()
-    parsed = F.when(found.isNotNull(), F.struct(
-        F.coalesce("_time", "ingested_at").alias("timestamp"),
-        found["src_ip"].alias("src_ip"),
-        found["dst_ip"].alias("dst_ip"),
-        to_bigint(found["src_port"]).alias("src_port"),
-        to_bigint(found["dst_port"]).alias("dst_port"),
-        action.alias("action"),
-        map_words(protocol_key, PROTOCOL_WORDS, "UNKNOWN").alias("protocol"),
-        found["device_vendor"].alias("device_vendor"),
-        severity.alias("severity"),
-        F.coalesce(found["error_reason"], F.when(bad_date, "timestamp")).alias("error_reason"),
-    ))
-    from_text = F.when(F.size("_iso") == ISO_PARTS, from_iso_parts(F.col("_iso")))
-    return [
-        {"_iso": iso_parts(found["time"]),
-         "_level": F.when(fmt.isin("syslog", "cef"), to_bigint(found["severity"])),
-         **{f"_{name}_key": word_key(found[name]) for name in ("action", "protocol", "severity")}},
-        {"_time": F.when(found["epoch"].isNotNull(), from_epoch(found["epoch"]))
-         .otherwise(from_text)},
-        {"parsed": parsed},
-    ]

@@ -13,14 +13,11 @@ from loglathe.contracts import (
 )
 from loglathe.functions.clock import utc_now
 from loglathe.functions.text import sha256_of, strip
+from loglathe.operators import formats as known_formats
 from loglathe.operators import sequential, signatures, templates
-from loglathe.operators.cef import cef_stages
-from loglathe.operators.detect import detect_format, format_of, json_in_array, json_in_object
-from loglathe.operators.fields import finish_stages
-from loglathe.operators.json_events import json_stages
+from loglathe.operators.detect import detect_format, json_in_array, json_in_object
 from loglathe.operators.skew import attach_by_key
 from loglathe.operators.stages import Stages, apply_stages, side_by_side
-from loglathe.operators.syslog import syslog_stages
 from loglathe.session import materialize
 
 
@@ -69,9 +66,9 @@ def to_raw_events(lines: DataFrame, ingested_at: str | None = None,
     )
 
 
-@cache
+@known_formats.rebuilt_on_change
 def _known_stages(formats: tuple[str, ...], detect: bool, assumed_year: int | None) -> Stages:
-    fmt, text, only = F.col("detected_format"), F.col("_text"), len(formats) == 1
+    text, only = F.col("_text"), len(formats) == 1
     # The JSON value is parsed once, for detection and for the fields.
     in_array = json_in_array(text)
     is_json = F.col("_json_array").isNotNull() & json_in_object(text).isNotNull()
@@ -82,22 +79,22 @@ def _known_stages(formats: tuple[str, ...], detect: bool, assumed_year: int | No
     stages: Stages = [
         {"_text": strip(F.col("raw_text"))},
         {"_json_array": in_array},
-        {"detected_format": F.lit(formats[0]) if only else format_of(is_json, text)},
+        {"detected_format": F.lit(formats[0]) if only else known_formats.format_of(
+            text, {"json": is_json})},
     ]
-    chains = {"syslog": lambda: syslog_stages(only, assumed_year),
-              "cef": lambda: cef_stages(only), "json": lambda: json_stages(only)}
-    stages += side_by_side([chains[name]() for name in formats])
+    stages += side_by_side([known_formats.stages_of(name, only, assumed_year) for name in formats])
     stages.append({"found": F.coalesce(*[f"_{name}" for name in formats])})
-    return stages + finish_stages()
+    return stages + known_formats.finish_stages()
 
 
 def parse_known(raw: DataFrame, options: NormalizeOptions,
-                formats: tuple[str, ...] = ("json", "cef", "syslog"),
+                formats: tuple[str, ...] | None = None,
                 detect: bool = True) -> DataFrame:
     """Detect and parse in one pass; adds ``detected_format`` and ``parsed``.
 
-    With ``detect=False`` every line is taken to be of the one format named.
+    ``formats``: all known ones, or the one to keep to. With ``detect=False`` every line is taken to be of the one format named.
     """
+    formats = formats or known_formats.names()
     if detect and len(formats) == 1:
         raw = raw.filter(detect_format(F.col("raw_text")) == formats[0])
     stages = _known_stages(formats, detect, options.assumed_year)
