@@ -6,8 +6,8 @@ all pages. A multinomial naive Bayes model over the words of host and path then
 blocked from allowed; it learns from all pages, where those with a seed word count as
 blocked. Word lookups are joins, so no lexicon has to fit a task.
 
-Cases: a null URL or one without ``://`` has an empty host and path and no words, and is
-allowed unless a rule fits; null pages text counts as empty; repeated rows are judged
+Cases: a null URL, one without ``://`` and any other without words in host and path has no tokens and no
+score, and is allowed unless a rule fits; null pages text counts as empty; repeated rows are judged
 alike; hosts of any length are cut in time proportional to their length. With no pages
 that carry a seed word everything without a rule is allowed.
 """
@@ -136,7 +136,9 @@ def shapes(urls: DataFrame, words: DataFrame) -> DataFrame:
     return keys.join(cut_hosts, "host", "left").withColumn("tokens", F.concat(
         F.transform(F.coalesce("host_words", F.array().cast("array<string>")),
                     lambda w: F.concat(F.lit("h:"), w)),
-        F.transform(F.split(F.col("path_words"), " "), lambda w: F.concat(F.lit("p:"), w))))
+        # A path without words has no tokens.
+        F.transform(F.filter(F.split(F.col("path_words"), " "), lambda w: w != ""),
+                    lambda w: F.concat(F.lit("p:"), w))))
 
 
 def bayes(shaped: DataFrame) -> DataFrame:

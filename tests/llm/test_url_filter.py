@@ -72,3 +72,22 @@ def test_empty_table_and_no_seeds(spark):
     assert url_filter.judge(spark.createDataFrame([], schema)).count() == 0
     (row,) = url_filter.judge(spark.createDataFrame([(1, "http://quiet.com/en/", "x")], schema)).collect()
     assert row["verdict"] == "allow"
+
+
+def test_urls_without_words_are_allowed(spark):
+    rows = [(i, f"http://casino{i}.com", "casino play") for i in range(10)]
+    rows += [(100, None, "a"), (101, "no scheme", "b"), (102, "http://", "c"), (103, "http://1.2.3.4/5", None)]
+    out = {r["page_id"]: r for r in url_filter.judge(
+        spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert [(out[i]["verdict"], out[i]["score"]) for i in (100, 101, 102, 103)] == [("allow", None)] * 4
+    assert all(out[i]["verdict"] == "block" for i in range(10))
+
+
+def test_further_columns_do_not_matter(spark):
+    from pyspark.sql import functions as F
+    pages = spark.createDataFrame(
+        [(1, "http://casino.com/a", "casino"), (2, "http://a.net/x", None)], "page_id bigint, url string, html string")
+    plain = sorted(map(tuple, url_filter.judge(pages).collect()))
+    for name in ("host", "path", "word", "run", "token", "score", "shape", "n"):
+        pages = pages.withColumn(name, F.lit(f"own {name}"))
+    assert sorted(map(tuple, url_filter.judge(pages).collect())) == plain
