@@ -4,7 +4,7 @@ Each set is named by a hash, so that copies are one class, and gives the keys of
 sketch (see ``parity``). Similar sets share a key. Not all pairs that share one are looked
 at: classes that meet under a key are first linked with a few others there, in three
 linear rounds; after that only classes of different components still matter. For these
-the last round compares every pair that shares a key, by sizes and by 256 parity bits
+the last round compares every pair that shares a key, by sizes and by parity bits
 inside the join, so no link between components is lost. What may be similar by the parity
 sketches is verified on the whole sets.
 
@@ -49,6 +49,13 @@ def _texts(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text_or_empty()).alias("text_hash"))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few hundred rows at a time, so that what Python makes of them stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 512):
+            yield batch.slice(start, 512)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]):
     """Pieces of batches with the shingle sets of their texts."""
     for batch in batches:
@@ -162,7 +169,7 @@ class _Linker:
                                   F.col("sketch").alias("sketch_b"))
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _slices(batches):
                 rows = batch.to_pydict()
                 keep = [7 * parity.hamming(x, y) <= n + m for x, y, n, m in zip(
                     rows["sketch_a"], rows["sketch_b"], rows["n_a"], rows["n_b"])]
@@ -194,11 +201,11 @@ class _Linker:
         sets = stored(texts.mapInArrow(shingles, "class bigint, members binary"), "members")
 
         def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows = batch.to_pydict()
+            for batch in _slices(batches):
                 keep = []
-                for x, y in zip(rows["members_a"], rows["members_b"]):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                for x, y in zip(batch.column("members_a"), batch.column("members_b")):
+                    # Views of the batch, no copies.
+                    x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     keep.append(100 * both >= 75 * (len(x) + len(y) - both))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -210,10 +217,15 @@ class _Linker:
 
 
 def _mixed(linker: _Linker, members: DataFrame) -> DataFrame:
-    """Members of those keys under which several components still meet (stored)."""
+    """Members of those keys under which several components still meet (stored).
+
+    Of keys with the very same classes one stays: the others would only repeat its pairs.
+    """
     named = linker.named(members)
-    mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")
-                                     ).filter("x <> y").select("key")
+    per_key = named.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows"),
+        F.bit_xor(F.xxhash64("class")).alias("one"), F.bit_xor(F.xxhash64(F.lit("other"), "class")).alias("two"))
+    mixed = per_key.filter("x <> y").groupBy("rows", "one", "two").agg(F.min("key").alias("key"))
     return stored(named.join(mixed, "key", "left_semi"), "mixed")
 
 
@@ -237,22 +249,28 @@ def _hubs(mixed: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _across(mixed: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs of different components under a key that sizes and 256 bits leave possible.
+    """All pairs of different components under a key that sizes and sketches leave possible.
 
     Of two components one at least is not the key's largest, so only rows outside the
-    largest component of a key meet all of the key's rows.
+    largest component of a key meet all of the key's rows. Sketches are compared inside the
+    join, in a fixed width, so that it gives few pairs but those worth verifying.
     """
     largest = mixed.groupBy("key", "component").agg(F.count("*").alias("rows")).groupBy("key").agg(
         F.max(F.struct("rows", "component")).alias("top")).select("key", "top.component")
     full = stored(mixed.join(classes.select("class", "n", "folded"), "class"), "folded")
     few = full.join(largest, ["key", "component"], "left_anti")
     x, y = few.alias("x"), full.alias("y")
-    apart = sum((F.bit_count(F.col("x.folded")[k].bitwiseXOR(F.col("y.folded")[k]))
-                 for k in range(4)), F.lit(0))
+
+    def apart(words: int):
+        return sum((F.bit_count(F.col("x.folded")[k].bitwiseXOR(F.col("y.folded")[k]))
+                    for k in range(words)), F.lit(0))
+
+    # A part of the words already rules out most pairs.
+    both = F.col("x.n") + F.col("y.n")
     possible = (
         (F.col("x.component") != F.col("y.component"))
         & (4 * F.least("x.n", "y.n") >= 3 * F.greatest("x.n", "y.n"))
-        & (7 * apart <= F.col("x.n") + F.col("y.n")))
+        & (7 * apart(parity.FOLDED_BITS // 512) <= both) & (7 * apart(parity.FOLDED_BITS // 64) <= both))
     return x.join(y, (F.col("x.key") == F.col("y.key")) & possible).select(
         F.col("x.class").alias("a"), F.col("y.class").alias("b"))
 

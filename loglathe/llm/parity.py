@@ -23,6 +23,9 @@ from loglathe.llm.words import mix
 SHINGLE = 5
 # Bands are powers of two; below this size each shingle is a block.
 LEAST_BLOCKED = 64
+# Width of the sketches that are compared inside a join, a power of two. Two sets of n
+# shingles that have little in common are told apart if it is well above n / 2.
+FOLDED_BITS = 2048
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -147,8 +150,8 @@ def sketch(value: np.ndarray) -> bytes:
 
 
 def folded(value: np.ndarray) -> list[int]:
-    """A parity sketch of 256 bits whatever the size, as four signed numbers."""
-    flipped = np.bincount((value & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    """A parity sketch of ``FOLDED_BITS`` whatever the size, as signed numbers of 64 bits."""
+    flipped = np.bincount((value & np.uint64(FOLDED_BITS - 1)).astype(np.int64), minlength=FOLDED_BITS) & 1
     return np.packbits(flipped.astype(np.uint8), bitorder="little").view(np.int64).tolist()
 
 
