@@ -3,9 +3,12 @@
 The prefix array of a text holds, for every position, a polynomial hash of all before it,
 modulo two primes. The hash of any span is a difference of two entries, so equality of
 spans takes constant time and the longest common extension of two positions a binary
-search. A fingerprint is the text's length and its prefix array at up to ``MARKS`` evenly
-spaced positions; two fingerprints are compared by longest common extensions on the
-coarser of their two grids.
+search. A fingerprint is the text's length and its prefix array at two kinds of positions:
+up to ``MARKS`` evenly spaced ones, and anchors chosen by content, ``ANCHORS`` or so, where
+the hash of a window ends in enough zero bits. Two fingerprints are compared by longest
+common extensions, in place on the coarser of their two grids, and at any offset from the
+anchors that both texts have; the larger share counts. So text that is shifted or moved
+still agrees.
 
 Cases: a null text is empty, and two empty texts are alike (1.0). Documents follow each
 other by ``doc_id``, nulls last; rows with the same id by text. A single document is its
@@ -14,6 +17,7 @@ own next one. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -24,11 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglathe.llm.common import text_or_empty
+from loglathe.llm.words import mix
 
 # Two primes below 2 ** 31, so that products fit 64 bits, and a base for each.
 MODULI = (2_147_483_647, 2_147_483_629)
 BASES = (1_103_515_245, 1_664_525_013)
 MARKS = 32
+# Anchors of a text, at most twice as many on average, and code points of their windows.
+ANCHORS = 64
+WINDOW = 12
 _SLICE_ROWS = 256
 
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -83,6 +91,92 @@ def longest_extension(a, i: int, b, j: int) -> int:
     return low
 
 
+def window_hashes(arrays: list[np.ndarray]) -> np.ndarray:
+    """A hash of the window at every position that has a whole one, whatever the position."""
+    n = len(arrays[0]) - 1
+    if n < WINDOW:
+        return np.zeros(0, np.uint64)
+    p = np.uint64(MODULI[0])
+    spans = (arrays[0][WINDOW:] + p - arrays[0][:-WINDOW]) % p
+    # Moved to begin at one place: multiplied by what is missing to the power n.
+    moved = spans * powers(0, n + 1)[n - np.arange(n - WINDOW + 1)] % p
+    # That depends on n, so it is moved back.
+    return mix(moved * np.uint64(pow(BASES[0], -n, MODULI[0])) % p)
+
+
+def anchors_of(arrays: list[np.ndarray]) -> tuple[int, np.ndarray, np.ndarray, list[int]]:
+    """Zero bits asked of a window, the anchors' window hashes and positions, prefix hashes.
+
+    Of equal windows the first is an anchor, so that repetitive texts have few.
+    """
+    n = len(arrays[0]) - 1
+    bits = max(0, (n // (2 * ANCHORS)).bit_length())
+    hashes = window_hashes(arrays)
+    at = np.flatnonzero((hashes & np.uint64((1 << bits) - 1)) == 0)
+    _, first = np.unique(hashes[at], return_index=True)
+    at = at[np.sort(first)]
+    marks = (arrays[0][at] << np.uint64(32) | arrays[1][at]).tolist()
+    return bits, hashes[at], at, marks
+
+
+class Mark:
+    """A fingerprint: the even grid and the anchors."""
+
+    def __init__(self, arrays: list[np.ndarray]):
+        self.grid = fingerprint(arrays)
+        self.bits, self.windows, self.at, self.hashes = anchors_of(arrays)
+
+    def __str__(self) -> str:
+        rows = np.stack([self.windows, self.at.astype(np.uint64), np.array(self.hashes, np.uint64)])
+        return f"{as_text(self.grid)}:{self.bits}:{base64.b64encode(rows.astype('<u8').tobytes()).decode()}"
+
+    def coarse(self, bits: int) -> tuple[np.ndarray, list[int], list[int]]:
+        """Windows, positions and prefix hashes of the anchors with so many zero bits, and the end."""
+        kept = np.flatnonzero((self.windows & np.uint64((1 << bits) - 1)) == 0)
+        end = self.grid[0]
+        return (self.windows[kept], [*self.at[kept].tolist(), end],
+                [*(self.hashes[k] for k in kept), self.grid[2][-1]])
+
+
+def _same_span(a, b, i: int, j: int, t: int) -> bool:
+    """Whether the texts agree from anchors i and j over t further anchors."""
+    (_, at, x), (_, to, y) = a, b
+    if at[i + t] - at[i] != to[j + t] - to[j]:
+        return False
+    shift = at[i] - to[j]
+    one, other = _minus(x[i + t], x[i]), _minus(y[j + t], y[j])
+    if shift < 0:
+        one, other, shift = other, one, -shift
+    return all(u == v * pow(base, shift, p) % p for u, v, base, p in zip(one, other, BASES, MODULI))
+
+
+def moved_likeness(one: Mark, other: Mark) -> float:
+    """Share of the longer text in stretches from a common anchor on, wherever they lie."""
+    n, m = one.grid[0], other.grid[0]
+    if n == m and one.grid[2][-1] == other.grid[2][-1]:
+        return 1.0
+    bits = max(one.bits, other.bits)
+    a, b = one.coarse(bits), other.coarse(bits)
+    _, mine, theirs = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    pairs = dict(zip(mine.tolist(), theirs.tolist()))
+    same, i = 0, -1
+    for start in sorted(pairs):
+        if start < i:
+            continue
+        j = pairs[start]
+        low, high = 0, min(len(a[1]) - 1 - start, len(b[1]) - 1 - j)
+        while low < high:
+            middle = (low + high + 1) // 2
+            if _same_span(a, b, start, j, middle):
+                low = middle
+            else:
+                high = middle - 1
+        same += a[1][start + low] - a[1][start]
+        i = start + low
+    # Different texts are never quite alike, also if all of one is found in another order.
+    return min(same, max(n, m) - 1) / max(n, m)
+
+
 def step_of(n: int) -> int:
     """The grid of a text: the least power of two with at most ``MARKS`` steps."""
     step = 1
@@ -132,6 +226,11 @@ def likeness(one: tuple[int, int, list[int]], other: tuple[int, int, list[int]])
     return same * grid / max(n, m)
 
 
+def alike(one: Mark, other: Mark) -> float:
+    """Likeness in place or at any offset, whichever shows more."""
+    return max(likeness(one.grid, other.grid), moved_likeness(one, other))
+
+
 def edited(text: str, following: str) -> str:
     half = len(text) // 2
     return text[:len(text) - half] + following[:half]
@@ -142,7 +241,7 @@ class _Document:
         self.doc_id, self.text = doc_id, text
         self.codes = code_points(text)
         self.arrays = prefixes(self.codes)
-        self.mark = fingerprint(self.arrays)
+        self.mark = Mark(self.arrays)
 
     def before(self, following: "_Document") -> tuple:
         text = edited(self.text, following.text)
@@ -150,10 +249,9 @@ class _Document:
         tail = prefixes(following.codes[:len(self.text) // 2], keep)
         arrays = [np.concatenate([a[:keep + 1], (t[1:] + a[keep]) % np.uint64(p)])
                   for a, t, p in zip(self.arrays, tail, MODULI)]
-        mark = fingerprint(arrays)
+        mark = Mark(arrays)
         return (self.doc_id, len(self.text), hashlib.sha256(text.encode()).hexdigest(),
-                as_text(self.mark), as_text(mark), likeness(self.mark, mark),
-                likeness(self.mark, following.mark))
+                str(self.mark), str(mark), alike(self.mark, mark), alike(self.mark, following.mark))
 
 
 COLUMNS = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "

@@ -70,3 +70,37 @@ def test_single_document_and_empty_table(spark):
     check(data.table(spark, [(5, "abcd", "en", "a", 4)]), [(5, "abcd")])
     check(data.table(spark, [(None, None, None, None, None)]), [(None, None)])
     assert fp.compare_neighbours(data.table(spark, [])).count() == 0
+
+
+def test_likeness_of_shifted_and_moved_text():
+    rng = random.Random(4)
+
+    def mark(text):
+        return fp.Mark(fp.prefixes(fp.code_points(text)))
+
+    for n in (2_000, 18_000, 60_000):
+        text = "".join(rng.choice("abcdefgh \U0001F600") for _ in range(n))
+        half = n // 2
+        cuts = sorted(rng.sample(range(n), 3))
+        cases = [("?" + text, 0.95), (text[1:], 0.95), (text[half:] + text[:half], 0.9),
+                 ("".join(c for i, c in enumerate(text) if i not in cuts), 0.85), (text[:half], 0.45)]
+        for other, least in cases:
+            assert least <= fp.alike(mark(text), mark(other)) < 1, (n, len(other), least)
+            assert least <= fp.alike(mark(other), mark(text)) < 1
+        assert fp.alike(mark(text), mark(text)) == 1.0
+        assert fp.alike(mark(text), mark("".join(rng.sample(text, n)))) < 0.02
+
+
+def test_likeness_never_exceeds_what_plain_matching_finds():
+    from difflib import SequenceMatcher
+    rng = random.Random(6)
+    base = "".join(rng.choice("abcdefgh") for _ in range(1_500))
+    for _ in range(20):
+        i, j = sorted(rng.sample(range(len(base)), 2))
+        other = base[:i] + "".join(rng.choice("xyz") for _ in range(rng.randrange(40))) + base[j:]
+        one, two = (fp.Mark(fp.prefixes(fp.code_points(t))) for t in (base, other))
+        found = SequenceMatcher(None, base, other, autojunk=False).get_matching_blocks()
+        plain = sum(b.size for b in found) / max(len(base), len(other))
+        got = fp.alike(one, two)
+        # Up to two spans are cut where a stretch begins or ends, and short chance matches count.
+        assert plain - 0.12 <= got <= plain + 1e-9
