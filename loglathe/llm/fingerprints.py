@@ -92,7 +92,7 @@ def longest_extension(a, i: int, b, j: int) -> int:
 
 
 def window_hashes(arrays: list[np.ndarray]) -> np.ndarray:
-    """A hash of the window at every position that has a whole one, whatever the position."""
+    """A hash of 32 bits of the window at every position that has a whole one."""
     n = len(arrays[0]) - 1
     if n < WINDOW:
         return np.zeros(0, np.uint64)
@@ -101,7 +101,7 @@ def window_hashes(arrays: list[np.ndarray]) -> np.ndarray:
     # Moved to begin at one place: multiplied by what is missing to the power n.
     moved = spans * powers(0, n + 1)[n - np.arange(n - WINDOW + 1)] % p
     # That depends on n, so it is moved back.
-    return mix(moved * np.uint64(pow(BASES[0], -n, MODULI[0])) % p)
+    return mix(moved * np.uint64(pow(BASES[0], -n, MODULI[0])) % p) >> np.uint64(32)
 
 
 def anchors_of(arrays: list[np.ndarray]) -> tuple[int, np.ndarray, np.ndarray, list[int]]:
@@ -127,8 +127,9 @@ class Mark:
         self.bits, self.windows, self.at, self.hashes = anchors_of(arrays)
 
     def __str__(self) -> str:
-        rows = np.stack([self.windows, self.at.astype(np.uint64), np.array(self.hashes, np.uint64)])
-        return f"{as_text(self.grid)}:{self.bits}:{base64.b64encode(rows.astype('<u8').tobytes()).decode()}"
+        packed = (self.windows.astype("<u4").tobytes() + self.at.astype("<u4").tobytes()
+                  + np.array(self.hashes, "<u8").tobytes())
+        return f"{as_text(self.grid)}:{self.bits}:{base64.b64encode(packed).decode()}"
 
     def coarse(self, bits: int) -> tuple[np.ndarray, list[int], list[int]]:
         """Windows, positions and prefix hashes of the anchors with so many zero bits, and the end."""
