@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
+
 from loglathe.llm import quality
 from tests.llm import data
 
@@ -56,14 +59,87 @@ def test_without_labels_all_is_kept(spark):
 
 
 def test_views_teach_each_other():
-    # Only the metadata tells labelled rows apart; the pool shows which words go with it.
+    # Only the metadata tells labelled rows apart; the other rows show which words go with it.
     rng = random.Random(2)
+    columns = quality.Columns()
+
+    def row(good, words):
+        return {"words": columns.of(set(words)), "shape": [float(good)] * 3, "source": "a", "lang": "en",
+                "good": good}
+
+    model = quality.Model([row(i % 2, [f"rare{i}"]) for i in range(120)])
+    others = [row(i % 2, ["sun" if i % 2 else "rain", rng.choice("xyz")]) for i in range(200)]
+    for _ in range(quality.ROUNDS):
+        model.learn(model.sums(model.matrices(others)))
+    assert model.text[columns["sun"]] > 0.2 > -0.2 > model.text[columns["rain"]]
+    assert model.handed[0][0] == [100, 100]
+
+
+def plain_sums(model, rows):
+    """What rows hand over, one at a time."""
+    names = len(model.meta) - 1
+    out = np.zeros((2, 3, quality.WIDTH + 2 + names))
+    for row in rows:
+        words = list(row["words"])
+        x = list(model.metadata(np.array([row["shape"]]), [row["source"]], [row["lang"]])[0]) + [1.0]
+        at = [[*words, quality.WIDTH], range(len(x))]
+        value = [[1.0] * len(at[0]), x]
+        weights = [model.text, model.meta]
+        z = [round(sum(weights[v][k] * y for k, y in zip(at[v], value[v])), 9) for v in range(2)]
+        for view in range(2):
+            sure = [sign * z[1 - view] >= model.least[1 - view][label] for label, sign in ((0, -1), (1, 1))]
+            for label in range(2):
+                if sure[label] and not sure[1 - label]:
+                    off = round((1 / (1 + np.exp(-z[view])) - label) * 4096)
+                    unit = 256 if view else 1
+                    for k, y in zip(at[view], value[view]):
+                        column = k + (quality.WIDTH + 1) * view
+                        out[label, :, column] += (y != 0, off * y * unit, abs(y) * unit * sum(map(abs, value[view])) * unit)
+    return out
+
+
+def test_a_round_equals_a_plain_one_and_uses_every_row(spark):
+    docs, labels, _ = corpus(spark, 600)
+    counts = []
+    for table in (docs, docs.unionByName(docs.filter("doc_id % 2 = 0").selectExpr(
+            "doc_id + 1000000 AS doc_id", "text", "lang", "source", "n_chars"))):
+        features = quality.featured(table, labels).cache()
+        rows = [r for b in features.toArrow().to_batches() for r in quality._rows(b)]
+        model = quality.Model(sorted((r for r in rows if r["good"] is not None), key=lambda r: r["doc_id"]))
+        others = [r for r in rows if r["good"] is None]
+        found = quality.exchange(features.repartition(5), model)
+        assert np.array_equal(found, plain_sums(model, others))
+        assert found[:, 0, quality.WIDTH].sum() <= len(others)
+        counts.append(found[:, 0])
+        features.unpersist()
+    # The same model meets every other row twice.
+    assert counts[0].any() and np.array_equal(counts[1], 2 * counts[0])
+
+
+def test_the_parabola_lies_above_the_loss():
+    rng = np.random.default_rng(4)
+    x = quality.Sparse([np.flatnonzero(rng.random(12) < 0.4).astype(np.int32) for _ in range(50)], 12)
+    target, at = rng.integers(0, 2, 50), rng.normal(size=13)
+
+    def loss(w):
+        z = x.times(w[:-1]) + w[-1]
+        return (np.logaddexp(0, z) - target * z).sum()
+
+    off = quality._sigmoid(x.times(at[:-1]) + at[-1]) - target
+    slope = np.append(x.summed(off), off.sum())
+    curve = np.append(x.summed(x.sizes + 1.0), (x.sizes + 1).sum()) / 4
+    for _ in range(50):
+        step = rng.normal(size=13) * rng.choice([0.1, 1, 3])
+        assert loss(at + step) <= loss(at) + slope @ step + curve @ step ** 2 / 2 + 1e-9
 
-    def row(good, words, labelled):
-        return {"words": words, "shape": [float(good)] * 3, "source": "a", "lang": "en",
-                "good": good if labelled else None}
 
-    rows = [row(i % 2, [f"rare{i}"], True) for i in range(120)]
-    rows += [row(i % 2, ["sun" if i % 2 else "rain", rng.choice("xyz")], False) for i in range(200)]
-    model = quality.Model(rows)
-    assert model.text[model.words["sun"]] > 0.2 > -0.2 > model.text[model.words["rain"]]
+def test_labelled_rows_beyond_the_bound_are_exchanged(spark):
+    docs, _, truth = corpus(spark, 900)
+    labels = spark.createDataFrame([(i, int(good), 0) for i, good in truth.items()],
+                                   "doc_id bigint, quality int, toxic int")
+    model = quality.fit(docs, labels, labelled=300)
+    assert sum(map(sum, model.handed[0])) > 300
+    assert quality.fit(docs, labels).handed == []
+    assert model.text.nbytes == 8 * (quality.WIDTH + 1)
+    with pytest.raises(AttributeError):
+        model._base
