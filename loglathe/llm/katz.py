@@ -36,7 +36,7 @@ from loglathe.llm.common import stored, text_or_empty
 from loglathe.session import scratch_path
 
 # Text of a block, and words or pairs that one range answers for, roughly.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 RANGE_ROWS = 1_500_000
 # Good-Turing applies to counts up to this.
 GOOD_TURING = 5
@@ -54,9 +54,9 @@ def packed(numbers) -> bytes:
     return zstandard.compress(np.ascontiguousarray(flat).tobytes(), 1)
 
 
-def unpacked(data: bytes) -> np.ndarray:
+def unpacked(data: bytes, wide=np.int64) -> np.ndarray:
     raw = np.frombuffer(zstandard.decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel().astype(wide)
 
 
 def six_bytes(numbers: np.ndarray) -> bytes:
@@ -205,9 +205,10 @@ class _Block:
     def __init__(self, row: dict):
         self.id = row["block"]
         self.words = np.frombuffer(row["words"], np.uint64)
-        self.tokens = unpacked(row["tokens"])
+        # Word numbers and rows of a block fit in 32 bits.
+        self.tokens = unpacked(row.pop("tokens"), np.int32)
         sizes = np.array(row["sizes"], np.int64)
-        self.owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         self.ids, self.held = row["ids"], np.array(row["held"], bool)
         self.trains = ~self.held[self.owner]
         self.width = len(self.words) + 1
@@ -219,8 +220,10 @@ class _Block:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First and second word of each distinct pair, and the pair of each token."""
-        code, at = np.unique(self.before * self.width + self.tokens, return_inverse=True)
-        return code // self.width, code % self.width, at
+        code = self.before.astype(np.int64) * self.width
+        code += self.tokens
+        code, at = np.unique(code, return_inverse=True)
+        return code // self.width, code % self.width, at.astype(np.int32)
 
     def dealt(self, first, second, counts, total: int, starts: int, ranges: int):
         """Range of every pair, and the ranges of frequent first words, as (range, word) codes."""
@@ -323,12 +326,15 @@ def _ask_pairs(total: int, starts: int, ranges: int):
             block, counts = _Block(row), _word_counts(row["answers_0"])
             first, second, at = block.pairs()
             n = np.bincount(at[block.trains], minlength=len(first))
+            # Only words and pairs are needed from here on.
+            del at, row, block.tokens, block.before, block.owner, block.trains
             code, also, frequent, hashes = block.dealt(first, second, counts, total, starts, ranges)
             order = np.argsort(code, kind="stable")
             asked = np.union1d(code, also)
             runs = np.bincount(np.searchsorted(asked, code), minlength=len(asked))
             upto = np.append(0, np.cumsum(runs))
-            second = second[order]
+            second, n = second[order], n[order]
+            del code, order
             owner = asked % block.width
             cut = np.searchsorted(asked // block.width, np.arange(ranges + 1))
             out = []
@@ -338,7 +344,7 @@ def _ask_pairs(total: int, starts: int, ranges: int):
                 out.append((
                     int(r), block.id, hashes[owner[low:high]].tobytes(), packed(runs[low:high]),
                     packed(frequent[owner[low:high]]), six_bytes(block.words[second[inside]] & _LOW48),
-                    packed(n[order][inside]), packed(counts[second[inside]])))
+                    packed(n[inside]), packed(counts[second[inside]])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), *[pa.binary()] * 6))],
                 names=["range", "block", "firsts", "runs", "frequent", "seconds", "n", "single"])
@@ -405,13 +411,16 @@ def _score(single: Unigrams, factor: np.ndarray, starts: int, ranges: int):
             block, counts = _Block(row), _word_counts(row["answers_0"])
             first, second, at = block.pairs()
             code, also, _, _ = block.dealt(first, second, counts, single.total, starts, ranges)
+            del block.before, block.trains
             order = np.argsort(code, kind="stable")
             asked = np.union1d(code, also)
+            del code
             cut = np.searchsorted(asked // block.width, np.arange(ranges + 1))
             pair = np.empty(len(first), np.int64)
             of, lower = np.zeros((block.width, GOOD_TURING), np.int64), np.zeros(block.width)
             rare = np.zeros(block.width, bool)
-            answers = sorted(row["answers_1"], key=lambda a: a["range"])
+            answers = sorted(row.pop("answers_1"), key=lambda a: a["range"])
+            del row
             pair[order] = np.concatenate([unpacked(a["counts"]) for a in answers])
             for a in answers:
                 own = asked[cut[a["range"]]:cut[a["range"] + 1]] % block.width
@@ -419,6 +428,7 @@ def _score(single: Unigrams, factor: np.ndarray, starts: int, ranges: int):
                 own = own[unpacked(a["places"])]
                 np.add.at(of, own, unpacked(a["kinds"]).reshape(-1, GOOD_TURING))
                 np.add.at(lower, own, np.frombuffer(a["lower"], np.float64))
+            del answers, order, asked
             after = np.append(counts, starts)
             scale, weight = backoff(after, rare, of, lower, factor)
             alone = single.p(counts)
