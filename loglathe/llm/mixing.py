@@ -11,7 +11,9 @@ their source, and only the totals of these ranges are summed in order.
 
 Cases: a null or blank text has size 0 and gives no words; a null source is a source of its
 own, last in order; a null ``doc_id`` is shuffled like an empty one. Rows that agree in
-everything get the same places in some order. Without any words all targets are 0.
+everything get the same places in some order. Without any words all targets are 0. An empty
+table gives an empty table. Texts may have any length. Of equal finish times the first source comes
+first. Further columns, of any name, are kept by ``mixed`` and left out by ``taken``.
 """
 
 from __future__ import annotations
@@ -151,21 +153,27 @@ def taken(docs: DataFrame, **options) -> DataFrame:
     ).drop("range", "rank")
 
 
+def _first_words(n: Column) -> Column:
+    """The text up to its word ``n``, which is not its last, and the space after it."""
+    parts = F.split("text", rf"(?<={WORD_PATTERN[:-1]})[\x20\x09-\x0D]+", n + 1)
+    return F.substring(F.col("text"), F.lit(1), F.length("text") - F.length(F.element_at(parts, -1)))
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """Whole documents, each as often as the mix takes its words, rounded; all columns kept.
+    """Documents as often as the mix takes them, the last time up to the words due; all columns kept.
 
-    Rows that agree in ``doc_id``, source and text count as one that is taken for all.
+    So the words of each source are those of ``taken``. Only ``text`` is ever cut. Rows that
+    agree in ``doc_id``, source and text count as one that is taken for all.
     """
-    names = fresh(docs, "id_", "src_", "no_src_", "hash_", "copies_")
-    id_, src, no_src, hash_, copies = names
-    group = taken(docs, **options).withColumn(
-        "copies", F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0))
-    group = stored(group.groupBy("doc_id", "src", "no_src", "text_hash").agg(
-        F.sum("copies").cast("int").alias("copies"), F.count("*").alias("rows")
-    ).filter("copies > 0"), "copies")
+    names = fresh(docs, "id_", "src_", "no_src_", "hash_", "whole_", "rest_", "turn_")
+    id_, src, no_src, hash_, whole, rest, turn = names
+    group = stored(taken(docs, **options).groupBy("doc_id", "src", "no_src", "text_hash").agg(
+        F.sum("taken").alias("taken"), F.first("size").alias("size"), F.count("*").alias("rows")
+    ).filter("taken > 0"), "copies")
     renamed = group.select(
         F.col("doc_id").alias(id_), F.col("src").alias(src), F.col("no_src").alias(no_src),
-        F.col("text_hash").alias(hash_), F.col("copies").alias(copies), "rows")
+        F.col("text_hash").alias(hash_), F.floor(F.col("taken") / F.col("size")).cast("int").alias(whole),
+        (F.col("taken") % F.col("size")).cast("int").alias(rest), "rows")
     same = (
         (F.xxhash64(text_or_empty()) == F.col(hash_)) & F.col("doc_id").eqNullSafe(F.col(id_))
         & (F.coalesce("source", F.lit("")) == F.col(src)) & (F.col("source").isNull() == F.col(no_src)))
@@ -173,4 +181,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     repeated = renamed.filter("rows > 1").drop("rows")
     if not repeated.isEmpty():
         once = once.unionByName(docs.join(repeated, same).dropDuplicates(names[:4]))
-    return once.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
+    last = F.when(F.col(rest) > 0, 1).otherwise(0)
+    every = once.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(whole) + last)))
+    text = F.when(F.col(turn) > F.col(whole), _first_words(F.col(rest))).otherwise(F.col("text"))
+    return every.select(*[text.alias(c) if c.lower() == "text" else F.col(c) for c in docs.columns])

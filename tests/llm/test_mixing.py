@@ -73,6 +73,23 @@ def test_mixed_documents(spark):
     assert all(data.words_of(text) for _, text in counts)
 
 
+def test_mixed_gives_the_words_that_are_taken(spark):
+    # One document holds nearly all words of its source, whose target is a part of them.
+    rows = [(0, " long\t" * 1000, "en", "a", 0)] + [(i, "w " * 10, "en", "a", 0) for i in range(1, 6)]
+    rows += [(10 + i, " v\n w" * 10, "en", "bc"[i % 2], 0) for i in range(40)]
+    for docs in (data.table(spark, rows), data.table(spark)):
+        due, given = Counter(), Counter()
+        for r in mixing.taken(docs).collect():
+            due[None if r["no_src"] else r["src"]] += r["taken"]
+        texts = {r["doc_id"]: set() for r in docs.collect()}
+        for r in docs.collect():
+            texts[r["doc_id"]].add(r["text"] or "")
+        for r in mixing.mixed(docs).collect():
+            given[r["source"]] += len(data.words_of(r["text"]))
+            assert any(t.startswith(r["text"]) for t in texts[r["doc_id"]])
+        assert +given == +due
+
+
 def test_empty_and_blank_tables(spark):
     assert mixing.taken(data.table(spark, [])).count() == 0
     assert mixing.mixed(data.table(spark, [])).count() == 0

@@ -77,9 +77,17 @@ def test_stage_by_stage(spark):
         elif name == "near dedup":
             assert {r["doc_id"] for r in rows} == first_of_groups(had)
         elif name == "source mix":
-            taken = {r["doc_id"]: round(r["taken"] / r["size"] + 1e-9) for r in mixing.taken(before).collect()
-                     if r["size"]}
-            assert Counter(r["doc_id"] for r in rows) == Counter({i: n for i, n in taken.items() if n})
+            # Whole copies, and the words due of one more.
+            taken, size, given = Counter(), {}, Counter()
+            for r in mixing.taken(before).collect():
+                taken[r["doc_id"]] += r["taken"]
+                size[r["doc_id"]] = r["size"]
+            for r in rows:
+                given[r["doc_id"]] += len(data.words_of(r["text"]))
+                assert r["n_chars"] == len(r["text"])
+            assert given == +taken
+            assert Counter(r["doc_id"] for r in rows) == Counter(
+                {i: -(-n // size[i]) for i, n in taken.items() if n})
     assert all(results)
 
 
