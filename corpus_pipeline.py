@@ -1,8 +1,14 @@
-"""From raw documents to token ids: the corpus operators as one pipeline."""
+"""From raw documents to token ids: the corpus operators as one pipeline.
+
+Each stage takes nulls in any column, empty and very long texts, ties, repeated rows, empty tables
+and further columns of any name, with the results its operator states; stages before the last return
+the columns they were given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loglathe.llm import bpe, exact_dedup, mixing, ngram_join, quality
 from loglathe.llm.common import stored
@@ -26,8 +32,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, each as often as it is taken."""
-    return mixing.mixed(docs)
+    """The documents of the mix, each as often as it is taken, the last time up to the words due."""
+    mix = mixing.mixed(docs)
+    return mix.withColumn("n_chars", F.length("text").cast(mix.schema["n_chars"].dataType))
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
