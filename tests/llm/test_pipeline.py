@@ -26,7 +26,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 def test_every_operator_is_registered():
     names = [n for n in QUERIES if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
 
