@@ -18,6 +18,9 @@ REQUIRED_SETTINGS = {
     # The JVM never compiles methods above 8000 bytes of code. A long projection is
     # faster outside whole-stage code, where Spark splits it into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Long texts and blobs reach Python a few megabytes at a time.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
