@@ -516,7 +516,8 @@ def stream_unknown_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     _append_files(fixtures.log_lines(spark, sf_dir), folder)
     store = batch.EventStore(spark, scratch_path(spark, "live"))
     first = live.start_raw_stream(
-        live.tail_lines(spark, folder, "earliest", "*.txt", max_bytes=1 << 21,
+        live.tail_lines(spark, folder, "earliest", "*.txt",
+                        max_bytes=live.backlog_share(spark, folder, 8, least=1 << 21),
                         state_path=scratch_path(spark, "tail-state")), store, scratch_path(spark, "cp"),
          interval="0 seconds", ingested_at=fixtures.CLOCK)
     first.processAllAvailable()

@@ -19,7 +19,7 @@ from loglathe.operators.normalize import (
     NormalizeOptions, learned_state, mine_raw, outcomes, to_raw_events,
 )
 from loglathe.plans.batch import EventStore
-from loglathe.sources import tables, tail
+from loglathe.sources import folders, tables, tail
 
 POLL_INTERVAL = "1.5 seconds"
 # Names the stream in event ids. The number of a streamed line is its byte position, so the
@@ -53,6 +53,16 @@ def tail_lines(spark: SparkSession, path: str, starting: str = "latest", glob: s
     return lines.filter("raw_text IS NOT NULL").select(LINES_SCHEMA.fieldNames())
 
 
+def backlog_share(spark: SparkSession, path: str, batches: int, least: int) -> int:
+    """``max_bytes`` by which a stream reads what lies in a folder now in about so many micro-batches.
+
+    Each batch costs the same seconds for its offsets and commits, so with batches of a fixed size a
+    longer backlog would take ever more of them. Batches are cut into tasks whatever their size.
+    """
+    size = sum(length for _, length, _ in folders.contents(spark, path))
+    return max(least, -(-size // batches))
+
+
 class RotationListener(StreamingQueryListener):
     """Adds up, over all batches of queries it hears of, the metrics named ``observed``."""
 

@@ -93,3 +93,16 @@ def test_a_repeated_batch_and_the_size_of_the_log(spark, folder, raw_of):
         ["link up b"], 7, [("3 link", 6, ["link", "up", "a"], [None, None, 8])]), 2)
     assert mined.current(store).first()["break_seq"] == [None, 2, 8]
     assert store.outcomes().count() == 4
+
+
+def test_backlog_takes_as_many_batches_whatever_its_size(spark, folder):
+    from pathlib import Path
+
+    from loglathe.streaming import live
+
+    assert live.backlog_share(spark, f"{folder}/none", 8, least=10) == 10
+    size = 0
+    for k in range(3):
+        Path(folder, f"{k}.txt").write_bytes(b"x" * (10 ** (k + 3) - size))
+        size = 10 ** (k + 3)
+        assert -(-size // live.backlog_share(spark, folder, 8, least=10)) == 8
