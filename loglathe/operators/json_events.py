@@ -18,25 +18,18 @@ _PORT_FIELDS = ["src_port", "dst_port"]
 _TEXT_FIELDS = ["src_ip", "dst_ip", "device_vendor"]
 
 
-def _kind(value: Column, as_json: Column) -> Column:
-    """STRING, BIGINT, another number, or null for all else, from its JSON form.
-
-    Only numbers need their exact type: 443.0 is kept as the decimal 443.
-    """
-    return (
-        F.when(as_json.startswith('"'), "STRING")
-        .when(as_json.rlike("^[-0-9]"), F.schema_of_variant(value))
-    )
+def _value(lowered: Column) -> Column:
+    """The wanted key with its value."""
+    key = F.get("_js_keys", F.array_position("_js_lower", lowered).cast("int") - 1)
+    return F.struct(lowered.alias("key"), F.try_element_at("_js_map", key).alias("value"))
 
 
-def _entry(lowered: Column) -> Column:
-    """The wanted key with the text and kind of its value."""
-    key = F.get("_js_keys", F.array_position("_js_lower", lowered).cast("int") - 1)
-    value = F.try_element_at("_js_map", key)
+def _entry(found: Column) -> Column:
+    """The wanted key with the text and kind of its value: STRING, BIGINT (443.0 is a DECIMAL), and so on."""
+    value = found["value"]
     # A JSON null is as good as an absent key.
-    found = F.when(~F.is_variant_null(value), F.struct(
-        value.cast("string").alias("text"), _kind(value, F.to_json(value)).alias("kind")))
-    return F.struct(lowered, found)
+    return F.struct(found["key"], F.when(~F.is_variant_null(value), F.struct(
+        value.cast("string").alias("text"), F.schema_of_variant(value).alias("kind"))))
 
 
 @cache
@@ -71,8 +64,10 @@ def json_stages(only: bool) -> Stages:
          # Newest key first, so that the first hit of a lower-cased key is the last one.
          "_js_keys": F.when(is_object, F.reverse(F.array_distinct(F.json_object_keys("_text"))))},
         {"_js_lower": F.transform("_js_keys", lambda k: F.lower(k))},
-        {"_js_found": F.map_from_entries(F.transform(
-            F.array_intersect("_js_lower", known), _entry))},
+        # A function of array elements evaluates again whatever it names again, so values are looked
+        # up in one step and told apart in the next.
+        {"_js_found": F.map_from_entries(F.transform(F.transform(
+            F.array_intersect("_js_lower", known), _value), _entry))},
         {f"_js_{field}": F.coalesce(*[F.try_element_at("_js_found", F.lit(a)) for a in aliases])
          for field, aliases in JSON_KEYS.items()},
         {"_json": F.when(when, found_struct(
