@@ -21,15 +21,19 @@ RUN = "fixture"
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a table of few input splits at least one partition per core.
+    """Give a stored table partitions that keep all cores busy.
 
-    A small file is a single split and would keep all other cores idle. Inputs of
-    many splits, the case at scale, are left as they are.
+    A row group of Parquet is read by one task, whatever the number of splits: a file of few row groups
+    has splits without rows, and all other cores would idle. So rows are counted per split, by the
+    footers alone. Where no split has more than twice a core's share, the case of large inputs in many
+    row groups, the table is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    splits = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    largest, rows = splits.agg(F.max("n"), F.sum("n")).first()
+    if rows is None or largest * cores <= 2 * rows:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(max(cores, df.rdd.getNumPartitions()), key)
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
