@@ -77,3 +77,16 @@ def test_country_lookup_shuffles_no_events(spark, store):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortMergeJoin" not in plan
     # One join per prefix length of the bundled table, and one for the known-bad list.
     assert len(nodes(plan, "BroadcastHashJoin")) == 7
+
+
+def test_text_lines_are_tokenised_once(spark, monkeypatch):
+    from loglathe.operators import templates
+    from loglathe.plans.registry import QUERIES
+
+    mined, mine = [], templates.mine_leaves
+    monkeypatch.setattr(templates, "mine_leaves", lambda lines, *rest: mined.append(lines) or mine(lines, *rest))
+    rows = QUERIES["template_table_text"](spark, SF_DIR).agg(F.sum("n_lines")).first()[0]
+    plan = plan_of(mined[0])
+    # Mining reads its lines several times, so they come from a stored table.
+    assert "split(" not in plan and not nodes(plan, "Generate") and len(nodes(plan, "Scan parquet")) == 1
+    assert rows == fixtures.document_lines(spark, SF_DIR).count()
