@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglathe.llm.common import discard, stored
+from loglathe.llm.common import FEW, discard, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -14,21 +14,32 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round links the larger neighbours of every node to its smallest neighbour, and then
     the smaller ones, until every edge leads to the smallest node of its component. A
     component of any size takes a number of rounds that grows with its logarithm. Rounds
-    are written to the shared folder; no task holds a component.
+    are written to the shared folder; no task holds a component, but one takes all edges
+    where these are at most ``FEW``.
     """
     spark = edges.sparkSession
     current = stored(_normal(edges.select("a", "b")), "edges")
+    rows, digests = 0, None
     while True:
-        large = _star(current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b"))),
-                      F.col("b") > F.col("a"))
+        before, (rows, *digests) = (rows, digests), _state(current)
+        if (rows, digests) == before:
+            break
+        here = current.coalesce(1) if rows <= FEW else current
+        both = here.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+                                     ).alias("e")).select("e.*")
+        large = _star(both, F.col("b") > F.col("a"))
         small = stored(_normal(_star(large, None)), "edges")
-        changed = small.exceptAll(current).limit(1).count() + current.exceptAll(small).limit(1).count()
         discard(spark, current)
         current = small
-        if not changed:
-            break
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    return current.select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.col("b").alias("component")),
+        F.struct(F.col("b").alias("node"), F.col("b").alias("component")))).alias("e")).select("e.*").distinct()
+
+
+def _state(edges: DataFrame) -> tuple:
+    """The number of edges and two digests of 64 bits: the same for the same set of edges."""
+    return tuple(edges.agg(F.count("*"), *(
+        F.coalesce(F.bit_xor(F.xxhash64(F.lit(salt), "a", "b")), F.lit(0)) for salt in (0, 1))).first())
 
 
 def _normal(edges: DataFrame) -> DataFrame:
@@ -41,7 +52,8 @@ def _star(edges: DataFrame, larger) -> DataFrame:
     """Link neighbours b of a node a to the least of a and its neighbours."""
     least = edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
     linked = edges if larger is None else edges.filter(larger)
-    out = linked.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    if larger is None:
-        out = out.unionByName(least.select("a", F.col("m").alias("b")))
-    return out
+    out = linked.join(least, "a")
+    if larger is not None:
+        return out.select(F.col("b").alias("a"), F.col("m").alias("b"))
+    # Every node also has an edge to its own least neighbour.
+    return out.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))

@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loglathe.llm import parity, words
-from loglathe.llm.common import discard, fresh, stored, text_or_empty
+from loglathe.llm.common import discard, fresh, stored, text_or_empty, together
 from loglathe.llm.components import connected_components
 from loglathe.operators.skew import fits_broadcast
 
@@ -138,35 +138,49 @@ class _Linker:
             F.first("folded").alias("folded"), F.min(F.struct("doc_id", "text_hash")).alias("row"))
         self.classes = stored(classes, "classes")
         self.components: DataFrame | None = None
+        # Those of the first round.
         self.links: DataFrame | None = None
+        self.scratch = [self.classes]
+        self.few = True
 
     def named(self, members: DataFrame) -> DataFrame:
         """``members (key, class)`` with the component of each class."""
         if self.components is None:
             return members.withColumn("component", F.col("class"))
-        return members.join(self.components.withColumnRenamed("node", "class"), "class", "left"
+        names = self.components.withColumnRenamed("node", "class")
+        return members.join(F.broadcast(names) if self.few else names, "class", "left"
                             ).withColumn("component", F.coalesce("component", "class"))
 
     def link(self, pairs: DataFrame) -> None:
         """Verify pairs ``(a, b)`` of classes and merge the components of those similar."""
-        likely = stored(self._likely(pairs), "likely")
-        if likely.isEmpty():
-            return
-        found = stored(self._similar(likely), "links")
-        self.links = found if self.links is None else self.links.unionByName(found)
-        edges = found
-        if self.components is not None:
-            edges = found.unionByName(self.components.select(
-                F.col("node").alias("a"), F.col("component").alias("b")))
-        self.components = stored(connected_components(edges), "components")
-
-    def _likely(self, pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+                       "pairs")
+        likely = stored(self._likely(*together(pairs)), "likely")
+        discard(self.spark, pairs)
+        if not likely.isEmpty():
+            self._merge(self._similar(*together(likely)))
+        discard(self.spark, likely)
+
+    def _merge(self, found: DataFrame) -> None:
+        edges, old = found, self.components
+        if old is not None:
+            edges = found.unionByName(old.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        contracted = connected_components(edges)
+        self.components, self.few = together(stored(contracted, "components"))
+        discard(self.spark, contracted)
+        if old is None:
+            self.links = together(found)[0]
+            self.scratch.append(found)
+        else:
+            discard(self.spark, old, found)
+
+    def _likely(self, pairs: DataFrame, few: bool) -> DataFrame:
         """Pairs whose sizes and sketches allow a similarity of 3/4."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         one = self.classes.select(F.col("class").alias("a"), F.col("n").alias("n_a"),
                                   F.col("sketch").alias("sketch_a"))
         two = self.classes.select(F.col("class").alias("b"), F.col("n").alias("n_b"),
                                   F.col("sketch").alias("sketch_b"))
+        pairs = F.broadcast(pairs) if few else pairs
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in _slices(batches):
@@ -175,15 +189,16 @@ class _Linker:
                     rows["sketch_a"], rows["sketch_b"], rows["n_a"], rows["n_b"])]
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return pairs.join(one, "a").join(two, "b").filter(
+        return one.join(pairs, "a").join(two, "b").filter(
             4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")
         ).select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(
             near, "a bigint, b bigint")
 
-    def _similar(self, pairs: DataFrame) -> DataFrame:
-        """Pairs with a Jaccard similarity of 3/4 or more, by the whole sets."""
-        wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(
-            self.classes, "class").select("class", "row.doc_id", "row.text_hash"), "wanted")
+    def _similar(self, pairs: DataFrame, few: bool) -> DataFrame:
+        """Pairs with a Jaccard similarity of 3/4 or more, by the whole sets (stored)."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        wanted = stored(self.classes.join(F.broadcast(ends) if few else ends, "class").select(
+            "class", "row.doc_id", "row.text_hash"), "wanted")
         # Few rows meet all texts; beyond a measured size the texts are shuffled instead.
         side = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
         texts = self.texts.alias("t").join(
@@ -210,14 +225,16 @@ class _Linker:
                     keep.append(100 * both >= 75 * (len(x) + len(y) - both))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return pairs.join(sets.select(F.col("class").alias("a"), F.col("members").alias("members_a")), "a"
-                          ).join(sets.select(F.col("class").alias("b"), F.col("members").alias("members_b")), "b"
-                                 ).select("a", "b", "members_a", "members_b").mapInArrow(
-            similar, "a bigint, b bigint")
+        one = sets.select(F.col("class").alias("a"), F.col("members").alias("members_a"))
+        two = sets.select(F.col("class").alias("b"), F.col("members").alias("members_b"))
+        found = stored(one.join(F.broadcast(pairs) if few else pairs, "a").join(two, "b").select(
+            "a", "b", "members_a", "members_b").mapInArrow(similar, "a bigint, b bigint"), "links")
+        discard(self.spark, wanted, sets)
+        return found
 
 
-def _mixed(linker: _Linker, members: DataFrame) -> DataFrame:
-    """Members of those keys under which several components still meet (stored).
+def _mixed(linker: _Linker, members: DataFrame) -> tuple[DataFrame, bool]:
+    """Members of those keys under which several components still meet (stored), and whether they are few.
 
     Of keys with the very same classes one stays: the others would only repeat its pairs.
     """
@@ -226,7 +243,7 @@ def _mixed(linker: _Linker, members: DataFrame) -> DataFrame:
         F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows"),
         F.bit_xor(F.xxhash64("class")).alias("one"), F.bit_xor(F.xxhash64(F.lit("other"), "class")).alias("two"))
     mixed = per_key.filter("x <> y").groupBy("rows", "one", "two").agg(F.min("key").alias("key"))
-    return stored(named.join(mixed, "key", "left_semi"), "mixed")
+    return together(stored(named.join(mixed, "key", "left_semi"), "mixed"))
 
 
 def _neighbours(mixed: DataFrame, salt: int) -> DataFrame:
@@ -248,7 +265,7 @@ def _hubs(mixed: DataFrame, links: DataFrame) -> DataFrame:
         F.col("hub.class").alias("a"), F.col("class").alias("b"))
 
 
-def _across(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+def _across(mixed: DataFrame, linker: _Linker, few_rows: bool) -> DataFrame:
     """All pairs of different components under a key that sizes and sketches leave possible.
 
     Of two components one at least is not the key's largest, so only rows outside the
@@ -257,7 +274,9 @@ def _across(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     """
     largest = mixed.groupBy("key", "component").agg(F.count("*").alias("rows")).groupBy("key").agg(
         F.max(F.struct("rows", "component")).alias("top")).select("key", "top.component")
-    full = stored(mixed.join(classes.select("class", "n", "folded"), "class"), "folded")
+    full = stored(linker.classes.select("class", "n", "folded").join(
+        F.broadcast(mixed) if few_rows else mixed, "class"), "folded")
+    linker.scratch.append(full)
     few = full.join(largest, ["key", "component"], "left_anti")
     x, y = few.alias("x"), full.alias("y")
 
@@ -282,17 +301,20 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     chain = _meetings(key_rows)
     linker = _Linker(docs, table)
     linker.link(chain.select(F.col("previous").alias("a"), F.col("class").alias("b")))
+    last = chain
     members = chain.select("key", F.explode(F.array("previous", "class")).alias("class")).distinct()
     for propose in (lambda m: _hubs(m, linker.links) if linker.links is not None else _neighbours(m, 0),
                     lambda m: _neighbours(m, 1), lambda m: _neighbours(m, 2),
-                    lambda m: _across(m, linker.classes)):
-        mixed = _mixed(linker, members)
+                    lambda m: _across(m, linker, few)):
+        mixed, few = _mixed(linker, members)
+        discard(spark, last)
+        last = mixed
         if mixed.isEmpty():
             break
         linker.link(propose(mixed))
         # What a round no longer mixes, no later one does.
         members = mixed.select("key", "class")
-    discard(spark, chain)
+    discard(spark, last, *linker.scratch)
     return table, linker.components
 
 

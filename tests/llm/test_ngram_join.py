@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 from collections import defaultdict
 
@@ -7,6 +8,7 @@ import numpy as np
 
 from loglathe.llm import ngram_join, parity, words
 from loglathe.llm.components import connected_components
+from loglathe.session import shared_dir
 from tests.llm import data
 
 
@@ -143,3 +145,29 @@ def test_connected_components(spark):
             assert found[a] == found[b] <= min(a, b)
     assert all(found[c] == c for c in set(found.values()))
     assert {found[i] for i in range(1, 41)} == {1}
+
+
+def test_rounds_leave_no_scratch_tables(spark):
+    rng = random.Random(9)
+    text = data.prose(rng, 90)
+    rows = [(k, data.edited(rng, text, 1 + k % 9), "en", "a", 0) for k in range(60)]
+    rows += [(100 + k, data.prose(rng, 40), "en", "a", 0) for k in range(20)]
+    base = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    table, found = ngram_join.linked(data.table(spark, rows))
+    left = {n for n in os.listdir(base) if n not in before and os.path.isdir(f"{base}/{n}")}
+    used = {f.split("/")[-2] for t in (table, found) for f in t.inputFiles()}
+    assert left == used
+
+
+def test_few_edges_are_taken_by_one_task(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(100)] + [(900, 902), (901, 902)], "a long, b long")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        out = connected_components(edges)
+    finally:
+        spark.conf.unset(setting)
+    assert len(out.inputFiles()) == 1
+    assert {r["node"]: r["component"] for r in out.collect()} == {
+        **{k: 0 for k in range(101)}, **{k: 900 for k in (900, 901, 902)}}
