@@ -13,7 +13,6 @@ the vocabulary file says. Long pieces without white space take time in proportio
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import re
@@ -26,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from loglathe.llm.common import text_or_empty
+from loglathe.llm.common import kept, lean, text_or_empty
 
 # How text is cut before merging (fixed value): contractions, words, numbers, other signs
 # and white space, each with at most one space before it.
@@ -188,9 +187,8 @@ class Encoder:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
 def _encoder(definition: bytes) -> Encoder:
-    return Encoder(definition)
+    return kept("bpe", definition, Encoder)
 
 
 def vocabulary(spark: SparkSession, path: str):
@@ -214,7 +212,7 @@ def map_texts(docs: DataFrame, path: str, row_of, columns: str, names: list[str]
                     [piece.column(0), *(pa.array(c) for c in zip(*rows))], names=["doc_id", *names])
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, {columns}")
+        lean(run, "bpe"), f"doc_id {id_type}, {columns}")
 
 
 def _ids(encoder: Encoder, text: str) -> tuple:
@@ -250,7 +248,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {id_type}, text string")
+    return tokens.select("doc_id", "ids").mapInArrow(lean(run, "bpe"), f"doc_id {id_type}, text string")
 
 
 def _digest(encoder: Encoder, text: str) -> tuple:

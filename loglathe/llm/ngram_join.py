@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loglathe.llm import parity, words
-from loglathe.llm.common import discard, fresh, stored, text_or_empty, together
+from loglathe.llm.common import discard, fresh, lean, stored, text_or_empty, together
 from loglathe.llm.components import connected_components
 from loglathe.operators.skew import fits_broadcast
 
@@ -88,7 +88,7 @@ def _described(order: parity.Order | None, fine_bands: tuple[int, ...] = ()):
                 pa.array([parity.folded(s) for s in spans], pa.list_(pa.int64())),
                 lists, pa.array(np.isin(np.arange(len(counts)), lacking))], schema=_ROWS)
 
-    return describe
+    return lean(describe)
 
 
 def frequency_order(docs: DataFrame) -> parity.Order:
@@ -192,7 +192,7 @@ class _Linker:
         return one.join(pairs, "a").join(two, "b").filter(
             4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")
         ).select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(
-            near, "a bigint, b bigint")
+            lean(near), "a bigint, b bigint")
 
     def _similar(self, pairs: DataFrame, few: bool) -> DataFrame:
         """Pairs with a Jaccard similarity of 3/4 or more, by the whole sets (stored)."""
@@ -213,7 +213,7 @@ class _Linker:
                     [value[e - n:e].tobytes() for e, n in zip(ends, counts)], pa.binary())],
                     names=["class", "members"])
 
-        sets = stored(texts.mapInArrow(shingles, "class bigint, members binary"), "members")
+        sets = stored(texts.mapInArrow(lean(shingles), "class bigint, members binary"), "members")
 
         def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in _slices(batches):
@@ -228,7 +228,7 @@ class _Linker:
         one = sets.select(F.col("class").alias("a"), F.col("members").alias("members_a"))
         two = sets.select(F.col("class").alias("b"), F.col("members").alias("members_b"))
         found = stored(one.join(F.broadcast(pairs) if few else pairs, "a").join(two, "b").select(
-            "a", "b", "members_a", "members_b").mapInArrow(similar, "a bigint, b bigint"), "links")
+            "a", "b", "members_a", "members_b").mapInArrow(lean(similar), "a bigint, b bigint"), "links")
         discard(self.spark, wanted, sets)
         return found
 
