@@ -10,10 +10,18 @@ That description is found with two partial aggregations over the lines: the firs
 line per leaf, then the earliest difference per leaf and position. No line is
 shuffled or sorted by leaf, and a leaf that holds a third of all lines costs no
 more than any other.
+
+Leaves too many to be sent to all tasks, as free text has, are described in one pass. A task
+describes the lines it reads, a bounded number at a time, and what it has learned of a leaf is
+merged by leaf: where the first lines of two descriptions differ, the later first line is a break.
+So a leaf is shuffled as its first lines, not as all its lines.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +29,7 @@ from pyspark.sql import types as T
 from loglathe.contracts import UNKNOWN_ACTION_WORDS, WILDCARD
 from loglathe.functions.text import map_words, tokens
 from loglathe.operators.skew import attach_by_key, fits_broadcast
-from loglathe.session import cut_lineage
+from loglathe.session import cut_lineage, materialize
 
 DEFAULT_DEPTH = 4
 DEFAULT_SIMILARITY = 0.4
@@ -42,6 +50,13 @@ LEAF_STATE_SCHEMA = T.StructType([
     T.StructField("n_lines", T.LongType()),
 ])
 
+# Characters of first lines that a task holds before it hands its descriptions on.
+HELD_CHARS = 8_000_000
+# Between the tokens of a line as one text: white space, which no token holds.
+_BETWEEN = "\x1f"
+# A position without a break, where breaks are numbers.
+_NEVER = 2**63 - 1
+
 # Field shapes (fixed values)
 _TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z?$"
 _ADDRESS = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$"
@@ -91,8 +106,10 @@ def mine_leaves(lines: DataFrame, prior: DataFrame | None = None) -> tuple[DataF
     # Only numbers are aggregated; the tokens of the few first lines are fetched by them.
     starts = cut_lineage(lines.groupBy("leaf").agg(
         F.min("seq").alias("seq"), F.count("*").alias("n_lines")))
-    side = F.broadcast(starts) if fits_broadcast(starts) else starts
-    firsts = lines.select("leaf", "seq", "tokens").join(side, ["leaf", "seq"]).dropDuplicates(
+    if not fits_broadcast(starts):
+        state = _many_leaves(lines, prior)
+        return state, fits_broadcast(state)
+    firsts = lines.select("leaf", "seq", "tokens").join(F.broadcast(starts), ["leaf", "seq"]).dropDuplicates(
         ["leaf"]).select("leaf", F.col("tokens").alias("first_tokens"), "n_lines")
     if prior is None:
         firsts = firsts.withColumn("broken", F.lit(None).cast("array<boolean>"))
@@ -105,11 +122,13 @@ def mine_leaves(lines: DataFrame, prior: DataFrame | None = None) -> tuple[DataF
             "old.broken",
         )
     firsts = cut_lineage(firsts)
-    small = fits_broadcast(firsts)
+    if not fits_broadcast(firsts):
+        state = _many_leaves(lines, prior)
+        return state, fits_broadcast(state)
 
     known = firsts.select("leaf", F.col("first_tokens").alias("first"))
     # Lines that equal the first of their leaf break nothing and are not taken apart.
-    pairs = attach_by_key(lines, known, "leaf", small).filter(
+    pairs = attach_by_key(lines, known, "leaf", True).filter(
         F.col("tokens") != F.col("first")).select(
         "leaf", "seq", F.posexplode(F.arrays_zip("tokens", "first")).alias("pos", "pair"))
     breaks = (
@@ -129,6 +148,103 @@ def mine_leaves(lines: DataFrame, prior: DataFrame | None = None) -> tuple[DataF
     return state, fits_broadcast(state)
 
 
+_DESCRIBED = pa.schema([
+    ("leaf", pa.string()), ("seq", pa.int64()), ("line", pa.string()),
+    ("breaks", pa.list_(pa.int64())), ("n_lines", pa.int64())])
+_DESCRIBED_DDL = "leaf string, seq bigint, line string, breaks array<bigint>, n_lines bigint"
+
+
+class _Leaf:
+    """What is known of a leaf from some of its lines: the first one, its breaks, if any, and their number."""
+
+    __slots__ = ("seq", "line", "breaks", "n_lines")
+
+    def __init__(self):
+        self.seq, self.line, self.breaks, self.n_lines = None, None, None, 0
+
+    def add(self, seq: int | None, line: str | None, breaks: list[int] | None, n_lines: int) -> None:
+        """Take in what is known from other lines, in any order."""
+        self.n_lines += n_lines
+        # Lines without a place in the order are counted, and break nothing.
+        if seq is None:
+            return
+        if self.seq is None:
+            self.seq, self.line, self.breaks = seq, line, breaks
+            return
+        if seq < self.seq:
+            self.seq, self.line, self.breaks, seq, line, breaks = seq, line, breaks, self.seq, self.line, self.breaks
+        if line != self.line:
+            first, other = self.line.split(_BETWEEN), line.split(_BETWEEN)
+            # Where the others begin otherwise, their first line breaks already.
+            at = [seq if one != two else _NEVER for one, two in zip(first, other)]
+            breaks = at if breaks is None else list(map(min, at, breaks))
+        if breaks is not None:
+            self.breaks = breaks if self.breaks is None else list(map(min, self.breaks, breaks))
+
+
+def _rows_of(leaves: list[tuple[str, _Leaf]]) -> pa.RecordBatch:
+    rows = [(leaf, d.seq, d.line, d.breaks, d.n_lines) for leaf, d in leaves]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*rows), _DESCRIBED)], schema=_DESCRIBED)
+
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Descriptions of the leaves of lines; a leaf may have several."""
+    leaves: dict[str, _Leaf] = {}
+    held = 0
+    for batch in batches:
+        for leaf, seq, line in zip(*(c.to_pylist() for c in batch.columns)):
+            found = leaves.get(leaf)
+            if found is None:
+                found = leaves[leaf] = _Leaf()
+                held += len(line)
+            found.add(seq, line, None, 1)
+            if held > HELD_CHARS:
+                yield _rows_of(list(leaves.items()))
+                leaves, held = {}, 0
+    if leaves:
+        yield _rows_of(list(leaves.items()))
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One description a leaf; rows of a leaf follow each other."""
+    name, found, done, held = None, None, [], 0
+    for batch in batches:
+        for leaf, *described in zip(*(c.to_pylist() for c in batch.columns)):
+            if leaf != name:
+                if found is not None:
+                    done.append((name, found))
+                    held += len(found.line or "")
+                if held > HELD_CHARS:
+                    yield _rows_of(done)
+                    done, held = [], 0
+                name, found = leaf, _Leaf()
+            found.add(*described)
+    if found is not None:
+        done.append((name, found))
+    if done:
+        yield _rows_of(done)
+
+
+def _many_leaves(lines: DataFrame, prior: DataFrame | None) -> DataFrame:
+    """The states of more leaves than are sent to all tasks (stored)."""
+    parts = lines.filter("leaf IS NOT NULL").select("leaf", "seq", F.array_join("tokens", _BETWEEN).alias("line"))
+    parts = parts.mapInArrow(_describe, _DESCRIBED_DDL)
+    if prior is not None:
+        # Earlier templates come before all lines.
+        parts = parts.unionByName(prior.select(
+            "leaf", F.lit(_ALREADY_BROKEN).alias("seq"), F.array_join("first_tokens", _BETWEEN).alias("line"),
+            F.transform("broken", lambda b: F.when(b, _ALREADY_BROKEN).otherwise(_NEVER)).alias("breaks"),
+            F.col("n_lines").cast("bigint").alias("n_lines")))
+    merged = parts.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(_merge, _DESCRIBED_DDL)
+    first_tokens = F.when(F.col("line") == "", F.array().cast("array<string>")).otherwise(
+        F.split("line", _BETWEEN, -1))
+    break_seq = F.transform(
+        "first_tokens", lambda _, p: F.nullif(F.get("breaks", p), F.lit(_NEVER)))
+    return materialize(merged.filter("seq IS NOT NULL").withColumn("first_tokens", first_tokens).select(
+        "leaf", "first_tokens", break_seq.alias("break_seq"), "n_lines"), "leaf-states")
+
+
 def leaf_state(mined: DataFrame) -> DataFrame:
     """What a later run needs to know of the leaves mined so far."""
     return mined.select(

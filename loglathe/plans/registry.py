@@ -19,7 +19,7 @@ from loglathe.operators.normalize import (
 )
 from loglathe.operators.skew import attach_by_key
 from loglathe.plans import audit, batch, compact, queries
-from loglathe.session import configure_session, materialize, scratch_path
+from loglathe.session import configure_session, discard, materialize, scratch_path
 from loglathe.sources import dimensions, files, tables
 from loglathe.streaming import live, mined
 
@@ -263,6 +263,7 @@ def template_table_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Mining reads the lines several times; they are cut and tokenised once.
     tokens = materialize(lines.select("leaf", "seq", "tokens"), "text-lines")
     state, _ = templates.mine_leaves(tokens)
+    discard(spark, tokens)
     return templates.template_table(state).select(
         "leaf_key", F.sha2(F.array_join("template", " "), 256).alias("template_hash"), "n_lines")
 

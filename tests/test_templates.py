@@ -265,3 +265,53 @@ def test_older_templates_come_first(spark, monkeypatch, few):
         df.filter("seq >= 100").withColumn("seq", F.col("seq") - 100), second, 0.6).select(
         "seq", sequential.sequential_template(F.col("_cluster")).alias("t")).orderBy("seq").collect()
     assert [(r["seq"] + 100, r["t"]) for r in got] == sequential_by_hand(rows, 0.6)[100:]
+
+
+def test_leaves_too_many_to_broadcast(spark, monkeypatch):
+    rng = random.Random(6)
+    words = ["a", "b", "c1", "d", "ä"]
+    lines = [("x" if rng.random() < 0.9 else None, rng.randrange(1 << 40),
+              [rng.choice(words) for _ in range(rng.randrange(4))]) for _ in range(600)]
+    lines = [(leaf and f"{len(t)} {t[0] if t else ''}", seq, t) for leaf, seq, t in lines]
+    # Lines without a place count, but break nothing and make no leaf.
+    lines += [("1 a", None, ["z"]), ("9", None, ["y"] * 9), ("2 a", lines[0][1], ["a", "b"])]
+    schema = "leaf string, seq bigint, tokens array<string>"
+    old, new = spark.createDataFrame(lines[:200], schema), spark.createDataFrame(lines[200:], schema).repartition(5)
+    few, _ = templates.mine_leaves(old)
+    prior = templates.leaf_state(few).localCheckpoint()
+    expected = [templates.mine_leaves(new)[0].collect(), templates.mine_leaves(new, prior)[0].collect()]
+    monkeypatch.setattr(templates, "fits_broadcast", lambda df: False)
+    shuffled = []
+    monkeypatch.setattr(templates, "attach_by_key", lambda *rest: shuffled.append(rest))
+    found = [templates.mine_leaves(new)[0].collect(), templates.mine_leaves(new, prior)[0].collect()]
+    key = lambda r: r["leaf"]
+    for one, other in zip(expected, found):
+        assert sorted(one, key=key) == sorted(other, key=key) and len(one) > 10
+    # No line is shuffled with its tokens.
+    assert not shuffled
+
+
+def test_descriptions_of_leaves_in_any_pieces(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(templates, "HELD_CHARS", 10)
+    rng = random.Random(8)
+    lines = [(f"l{rng.randrange(3)}", k, "\x1f".join(rng.choice("pq") for _ in range(4))) for k in range(80)]
+    rng.shuffle(lines)
+
+    def batch(rows, names):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+
+    parts = list(templates._describe(batch(lines[k:k + 7], ["leaf", "seq", "line"]) for k in range(0, 80, 7)))
+    assert len(parts) > 3
+    rows = sorted((tuple(r.values()) for p in parts for r in p.to_pylist()), key=lambda r: r[0])
+    table = pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*rows), templates._DESCRIBED)], schema=templates._DESCRIBED)
+    merged = [r for p in templates._merge(iter([table.slice(0, 5), table.slice(5)])) for r in p.to_pylist()]
+    assert [r["leaf"] for r in merged] == ["l0", "l1", "l2"]
+    for r in merged:
+        own = sorted((seq, line.split("\x1f")) for leaf, seq, line in lines if leaf == r["leaf"])
+        first = own[0][1]
+        breaks = [min((seq for seq, t in own if t[p] != first[p]), default=templates._NEVER) for p in range(4)]
+        assert (r["seq"], r["line"].split("\x1f"), r["n_lines"]) == (own[0][0], first, len(own))
+        assert r["breaks"] == breaks
