@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -66,26 +67,38 @@ def _sets(batches: Iterator[pa.RecordBatch]):
                 yield rows.slice(first, len(piece)), *parity.shingle_sets(hashes, counts)
 
 
+def _sketched(value: np.ndarray, counts: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Sketches of sets, none for those that are empty, and folded ones."""
+    whole, begin = parity.sketches(value, counts)
+    none = pa.array(counts == 0)
+    sketch = pa.Array.from_buffers(pa.binary(), len(counts), [
+        None, pa.py_buffer(begin.astype(np.int32).tobytes()), pa.py_buffer(whole.tobytes())])
+    folded = parity.folded_all(value, counts)
+    offsets = np.arange(len(counts) + 1) * folded.shape[1]
+    return (pc.if_else(none, None, sketch),
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(folded.ravel())))
+
+
 def _described(order: parity.Order | None, fine_bands: tuple[int, ...] = ()):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, value, counts in _sets(batches):
-            names = parity.set_digest(value, counts).view(np.int64)
-            ends = np.cumsum(counts)
+            names, sizes = parity.set_digest(value, counts).view(np.int64), counts
             if fine_bands:
                 wanted = np.isin(parity.band_of(counts), fine_bands)
                 value = value[np.repeat(wanted, counts)]
                 counts = np.where(wanted, counts, 0)
-                ends = np.cumsum(counts)
             key, owner, lacking = parity.keys(value, counts, order, bool(fine_bands))
             by_owner = np.argsort(owner, kind="stable")
             offsets = np.append(0, np.cumsum(np.bincount(owner, minlength=len(counts))))
             lists = pa.ListArray.from_arrays(
                 pa.array(offsets, pa.int32()), pa.array(key[by_owner].view(np.int64)))
-            spans = [value[e - n:e] for e, n in zip(ends, counts)]
+            if order is None or fine_bands:
+                # The keys alone are wanted.
+                sketch, folded = (pa.nulls(len(counts), _ROWS.field(name).type) for name in ("sketch", "folded"))
+            else:
+                sketch, folded = _sketched(value, counts)
             yield pa.RecordBatch.from_arrays([
-                rows.column(0), rows.column(2), pa.array(counts, pa.int64()), pa.array(names),
-                pa.array([parity.sketch(s) if len(s) else None for s in spans], pa.binary()),
-                pa.array([parity.folded(s) for s in spans], pa.list_(pa.int64())),
+                rows.column(0), rows.column(2), pa.array(sizes, pa.int64()), pa.array(names), sketch, folded,
                 lists, pa.array(np.isin(np.arange(len(counts)), lacking))], schema=_ROWS)
 
     return lean(describe)
@@ -97,9 +110,10 @@ def frequency_order(docs: DataFrame) -> parity.Order:
     share = max(SAMPLE_SHARE, SAMPLE_LEAST / max(rows, 1))
     part = docs.filter(F.pmod(F.xxhash64(F.lit("order"), "doc_id"), F.lit(1 << 20))
                        < int((1 << 20) * share))
-    keys = part.mapInArrow(_described(None), _DDL).filter("n_shingles > 0").select(
-        "class", F.explode("keys").alias("key")).distinct()
-    seen = keys.groupBy("key").count().filter("count >= 3").orderBy(
+    # A set has a key once, so copies are left out as a whole.
+    sets = part.mapInArrow(_described(None), _DDL).filter("n_shingles > 0").select(
+        "class", "keys").dropDuplicates(["class"])
+    seen = sets.select(F.explode("keys").alias("key")).groupBy("key").count().filter("count >= 3").orderBy(
         F.desc("count"), "key").limit(FREQUENT).toArrow()
     return parity.Order(np.array(seen["key"].to_numpy(), np.int64).view(np.uint64),
                         np.array(seen["count"].to_numpy(), np.int64))
@@ -124,8 +138,12 @@ def described(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _meetings(key_rows: DataFrame) -> DataFrame:
     """``key, class, previous``: the classes of every key that several classes have (stored)."""
-    previous = F.lag("class").over(W.partitionBy("key").orderBy("class"))
-    return stored(key_rows.withColumn("previous", previous).filter("previous <> class"), "chain")
+    # Most keys have one class. A sort by key alone, which is fast, finds the others.
+    own = W.partitionBy("key")
+    several = key_rows.select("key", "class", F.min("class").over(own).alias("x"), F.max("class").over(own).alias("y")
+                              ).filter("x <> y").select("key", "class")
+    previous = F.lag("class").over(own.orderBy("class"))
+    return stored(several.withColumn("previous", previous).filter("previous <> class"), "chain")
 
 
 class _Linker:

@@ -155,6 +155,23 @@ def folded(value: np.ndarray) -> list[int]:
     return np.packbits(flipped.astype(np.uint8), bitorder="little").view(np.int64).tolist()
 
 
+def sketches(value: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``sketch`` of many sets, one after the other, and where each begins, one more at the end."""
+    bits = np.where(counts > 0, np.maximum(64, np.left_shift(4, band_of(counts))), 0)
+    begin = np.append(0, np.cumsum(bits))
+    own = np.repeat(bits, counts).astype(np.uint64)
+    at = np.repeat(begin[:-1], counts) + (value & (own - np.uint64(1))).astype(np.int64)
+    flipped = np.bincount(at, minlength=int(begin[-1])) & 1
+    return np.packbits(flipped.astype(np.uint8), bitorder="little"), begin // 8
+
+
+def folded_all(value: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``folded`` of many sets, a row each."""
+    at = np.repeat(np.arange(len(counts)) * FOLDED_BITS, counts) + (value & np.uint64(FOLDED_BITS - 1)).astype(np.int64)
+    flipped = np.bincount(at, minlength=len(counts) * FOLDED_BITS) & 1
+    return np.packbits(flipped.astype(np.uint8), bitorder="little").view(np.int64).reshape(len(counts), -1)
+
+
 def hamming(a: bytes, b: bytes) -> int:
     """Distance of two sketches; the larger is folded, which XORs equal residues."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)

@@ -171,3 +171,26 @@ def test_few_edges_are_taken_by_one_task(spark):
     assert len(out.inputFiles()) == 1
     assert {r["node"]: r["component"] for r in out.collect()} == {
         **{k: 0 for k in range(101)}, **{k: 900 for k in (900, 901, 902)}}
+
+
+def test_keys_that_several_classes_have(spark):
+    rng = np.random.default_rng(4)
+    key, value = rng.integers(-30, 30, 300), rng.integers(0, 9, 300)
+    rows = list(zip(key.tolist(), value.tolist())) + [(100 + k, k) for k in range(50)] + [(200, 1), (200, 1)]
+    out = ngram_join._meetings(spark.createDataFrame(rows, "key bigint, class bigint").repartition(3)).collect()
+    expected = []
+    for k in {k for k, _ in rows}:
+        own = sorted({c for other, c in rows if other == k})
+        expected += [(k, b, a) for a, b in zip(own, own[1:])]
+    assert sorted(tuple(r) for r in out) == sorted(expected)
+
+
+def test_sketches_of_many_sets():
+    rng = np.random.default_rng(5)
+    counts = np.array([0, 1, 70, 0, 3000, 64, 15])
+    value = rng.integers(0, 1 << 63, counts.sum()).astype(np.uint64)
+    ends = np.cumsum(counts)
+    sets = [value[e - n:e] for e, n in zip(ends, counts)]
+    sketch, folded = ngram_join._sketched(value, counts)
+    assert sketch.to_pylist() == [parity.sketch(s) if len(s) else None for s in sets]
+    assert folded.to_pylist() == [parity.folded(s) for s in sets]
